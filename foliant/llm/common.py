@@ -94,3 +94,8 @@ def digest_spans(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
     )
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Bound what an Arrow worker holds at a time: few rows a batch, as texts can be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

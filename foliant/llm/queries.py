@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+from .mixing import op4_mix_knapsack
+from .packing import op3_pack_nnls
+from .pii import op5_pii_bootstrap
 from .quality import op2_quality_mcd
 from .secrets import op1_secret_ledger
+from .urls import op10_url_graph
 
 
 def queries():
-    return {"op1_secret_ledger": op1_secret_ledger, "op2_quality_mcd": op2_quality_mcd}
+    return {
+        f.__name__: f
+        for f in (
+            op1_secret_ledger,
+            op2_quality_mcd,
+            op3_pack_nnls,
+            op4_mix_knapsack,
+            op5_pii_bootstrap,
+            op10_url_graph,
+        )
+    }
 
 
 def oracle_sql():
