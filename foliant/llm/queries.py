@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .jaccard import op8_ngram_jaccard
 from .mixing import op4_mix_knapsack
 from .packing import op3_pack_nnls
 from .pii import op5_pii_bootstrap
@@ -19,6 +20,7 @@ def queries():
             op3_pack_nnls,
             op4_mix_knapsack,
             op5_pii_bootstrap,
+            op8_ngram_jaccard,
             op10_url_graph,
         )
     }
