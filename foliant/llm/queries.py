@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .chat import op7_chat_windows
+from .covertree import op9_dual_tree
 from .jaccard import op8_ngram_jaccard
 from .mixing import op4_mix_knapsack
 from .packing import op3_pack_nnls
@@ -20,7 +22,9 @@ def queries():
             op3_pack_nnls,
             op4_mix_knapsack,
             op5_pii_bootstrap,
+            op7_chat_windows,
             op8_ngram_jaccard,
+            op9_dual_tree,
             op10_url_graph,
         )
     }
