@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .blocks import op6_block_labeller
 from .chat import op7_chat_windows
 from .covertree import op9_dual_tree
 from .jaccard import op8_ngram_jaccard
@@ -22,6 +23,7 @@ def queries():
             op3_pack_nnls,
             op4_mix_knapsack,
             op5_pii_bootstrap,
+            op6_block_labeller,
             op7_chat_windows,
             op8_ngram_jaccard,
             op9_dual_tree,
