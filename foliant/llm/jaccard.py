@@ -8,6 +8,9 @@ threshold.  The join runs in four steps and misses no link:
    ``SPARE`` whole segments; the fingerprints of all filled segments, and of every
    (SPARE + 1)-subset of empty ones, are compared.  All sets that share one form a block
    around the smallest id in it, its pivot.  Fingerprints travel as packed arrays.
+   Before whole sets travel, parity bitmaps of them do: two bitmaps differ in at most as many
+   places as the sets, so members of a block that differ from all others in too many places
+   link with none of them and leave it.
 2. *T-occurrence search.*  Inside a block (in chunks of bounded size) an inverted index
    over the whole sets is searched by DivideSkip: the shorter lists of a query are merged
    with a heap, the longer ones are probed by binary search for the candidates found, and
@@ -49,6 +52,8 @@ HOT = 64
 #: Entries gathered before they are packed and sent.
 FLUSH = 400_000
 CHUNK = 256
+#: Blocks of up to this many members are thinned out by bitmaps.
+THIN = 4096
 #: Ids of at most this many candidates are broadcast to fetch their texts (8 bytes each);
 #: more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -127,6 +132,36 @@ def fingerprints(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """Bitmap of at least two bits a shingle; each shingle flips one bit.  The exclusive or of two
+    bitmaps has no more bits than the sets' difference has shingles; halves fold onto each other."""
+    bits = 1 << max(6, int(2 * len(shingles) - 1).bit_length())
+    counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(counts.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(sizes: np.ndarray, maps: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of some sets may link with another one of them, by size and parity bitmap."""
+    keep = np.zeros(len(sizes), bool)
+    words = np.array([len(m) for m in maps])
+    for level in np.unique(words):
+        low = np.flatnonzero(words == level)
+        own = np.stack([maps[i] for i in low])
+        high = np.flatnonzero(words == 2 * level)
+        folded = [own] + ([np.stack([maps[i][:level] ^ maps[i][level:] for i in high])] if len(high) else [])
+        others = np.r_[low, high] if len(high) else low
+        table = np.concatenate(folded)
+        for a, i in enumerate(low):
+            n, m = sizes[i], sizes[others]
+            apart = np.bitwise_count(table ^ own[a]).sum(1)
+            near = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (apart <= (n + m) * (100 - percent) // (100 + percent))
+            near[a] = False
+            if near.any():
+                keep[i] = True
+                keep[others[near]] = True
+    return keep
+
+
 SENT = "bucket int, kind int, prints binary, ids binary"
 
 
@@ -164,8 +199,8 @@ def _send(buckets: int, percent: int, width: int):
             pb = (public % np.uint64(buckets)).astype(np.int64)
             for x in np.unique(pb):
                 out.append((int(x), 1, (public[pb == x] >> np.uint64(32)).astype(np.uint32).tobytes(), public[pb == x].tobytes()))
-        for digest, doc in firsts:
-            out.append((int.from_bytes(digest[:4], "little") % buckets, 3, digest, np.int64(doc).tobytes()))
+        for digest, doc, size, bits in firsts:
+            out.append((int.from_bytes(digest[:4], "little") % buckets, 3, digest, np.array([doc, size], np.int64).tobytes() + bits))
         if rows:
             table = np.array(rows, np.int64)
             out.append((buckets + int(mix64(table[:1, 0].astype(np.uint64))[0] % np.uint64(buckets)), 4, b"", table.tobytes()))
@@ -188,7 +223,7 @@ def _send(buckets: int, percent: int, width: int):
                 digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                 if digest not in first:
                     first[digest] = doc
-                    firsts.append((digest, doc))
+                    firsts.append((digest, doc, len(s), parity(s)))
                     p = fingerprints(s, bands)
                     prints.append(p)
                     owners.append((doc, len(p)))
@@ -204,8 +239,8 @@ def _send(buckets: int, percent: int, width: int):
 
 #: what: "pair" (a: member, b: pivot), "public" (a: fingerprint, b: pivot), "member" (a:
 #: fingerprint, b: member), "first" (a: id, b: smallest id of an equal set), "row" (a: id, b:
-#: first of its set in the task, n: size, state: 0 plain, 1 no id, 2 empty).
-MET = "what string, a bigint, b bigint, n bigint, state int"
+#: first of its set in the task, n: size, state: 0 plain, 1 no id, 2 empty).  ``bits``: of "first".
+MET = "what string, a bigint, b bigint, n bigint, state int, bits binary"
 
 
 def _meet(table: pa.Table) -> pa.Table:
@@ -239,15 +274,18 @@ def _meet(table: pa.Table) -> pa.Table:
         members = np.cumsum(np.frombuffer(ids[i], np.int64))
         emit("member", np.full(len(members), np.frombuffer(prints[i], np.uint64).view(np.int64)[0]), members)
     smallest: dict[bytes, int] = {}
-    same = [(prints[i], int(np.frombuffer(ids[i], np.int64)[0])) for i in np.flatnonzero(kinds == 3)]
-    for digest, doc in same:
+    same = [(prints[i], *np.frombuffer(ids[i][:16], np.int64).tolist(), ids[i][16:]) for i in np.flatnonzero(kinds == 3)]
+    for digest, doc, _, _ in same:
         smallest[digest] = min(doc, smallest.get(digest, doc))
-    emit("first", [d for _, d in same], [smallest[x] for x, _ in same])
+    bits: list = [None] * sum(len(x) for x in out["a"]) + [x for *_, x in same]
+    emit("first", [x[1] for x in same], [smallest[x[0]] for x in same], [x[2] for x in same])
     for i in np.flatnonzero(kinds == 4):
         t = np.frombuffer(ids[i], np.int64).reshape(-1, 4)
         emit("row", t[:, 0], t[:, 2], t[:, 1], t[:, 3])
     types = {"what": pa.string(), "a": pa.int64(), "b": pa.int64(), "n": pa.int64(), "state": pa.int32()}
-    return pa.table({k: pa.array(np.concatenate(v) if v else [], types[k]) for k, v in out.items()})
+    columns = {k: pa.array(np.concatenate(v) if v else [], types[k]) for k, v in out.items()}
+    bits += [None] * (len(columns["a"]) - len(bits))
+    return pa.table(columns | {"bits": pa.array(bits, pa.binary())})
 
 
 # --- T-occurrence search ----------------------------------------------------------------
@@ -338,11 +376,11 @@ FOUND = "pivot bigint, chunk bigint, a bigint, b bigint, alone boolean"
 
 def _search_blocks(percent: int, report: bool):
     """Over partitions ordered by (pivot, chunk): links (alone = false) and, if ``report``,
-    members that did not link to their pivot (alone = true, a = b = the member)."""
+    members not in the group of the block's smallest one, which every chunk holds (alone = true)."""
 
     def solve(key, rows) -> list[tuple]:
         pivot, chunk = key
-        rows.sort(key=lambda r: (r[0] != pivot, r[0]))
+        rows.sort(key=lambda r: r[0])
         ids = [r[0] for r in rows]
         sets = [np.frombuffer(r[2], np.uint64) for r in rows]
         links, groups = link(ids, sets, percent, None if report else [i for i, r in enumerate(rows) if r[1]])
@@ -420,15 +458,17 @@ def group(docs: DataFrame, *, width: int = 4, percent: int = 85) -> DataFrame:
     met = cut(slim.mapInArrow(_send(buckets, percent, width), SENT).groupBy("bucket").applyInArrow(_meet, MET), "met")
     of = lambda what: met.filter(F.col("what") == what)
 
-    first = of("first").select(F.col("a").alias("id"), F.col("b").alias("rep")).groupBy("id").agg(F.min("rep").alias("rep"))
-    first = cut(first, "reps")
+    # An id with several sets stands for itself, so that all of its sets are searched.
+    first = cut(of("first").groupBy(F.col("a").alias("id")).agg(F.min("b").alias("least"), F.max("b").alias("most")).select(
+        "id", F.when(F.col("least") == F.col("most"), F.col("least")).otherwise(F.col("id")).alias("rep")), "reps")
+    bits = of("first").select(F.col("a").alias("id"), "n", "bits").distinct()
     public = of("public").select("a", F.col("b").alias("pivot")).groupBy("a").agg(F.min("pivot").alias("pivot"))
     aside = of("member").join(public, "a").select(F.col("b").alias("member"), "pivot")
     pairs = of("pair").select(F.col("a").alias("member"), F.col("b").alias("pivot")).unionByName(aside).distinct()
     rep = lambda name: first.select(F.col("id").alias(name), F.col("rep").alias(f"{name}_rep"))
     pairs = pairs.join(rep("member"), "member").join(rep("pivot"), "pivot")
     pairs = pairs.select(F.col("member_rep").alias("member"), F.col("pivot_rep").alias("pivot"))
-    pairs = cut(pairs.filter("member <> pivot").distinct(), "pairs")
+    pairs = cut(thin(pairs.filter("member <> pivot").distinct(), bits, percent=percent), "pairs")
 
     links = search(slim, pairs, width=width, percent=percent)
     rows = of("row").select("a", "b", "n", "state")
@@ -448,51 +488,90 @@ def group(docs: DataFrame, *, width: int = 4, percent: int = 85) -> DataFrame:
     return known.unionByName(rest)
 
 
-def search(slim: DataFrame, pairs: DataFrame, *, width: int, percent: int) -> DataFrame:
-    """Links ``a, b`` that connect the groups inside all blocks (``pairs``: member, pivot)."""
-    spark = slim.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = cut(
-        pairs.select(F.col("member").alias("id")).unionByName(pairs.select(F.col("pivot").alias("id"))).distinct(), "wanted"
-    )
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
+def thin(pairs: DataFrame, maps: DataFrame, *, percent: int) -> DataFrame:
+    """Blocks (``pivot, member``) without the members that cannot link inside them.
+    ``maps``: id, size and parity bitmap of each set."""
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = pairs.select("pivot", F.col("pivot").alias("member")).distinct()
+    bits = maps.withColumnRenamed("id", "member")
+    full = pairs.select("pivot", "member").unionByName(own).join(bits, "member").select("pivot", "member", "n", "bits")
+
+    def solve(pivot: int, rows: list) -> list[tuple[int, int]]:
+        if len(rows) <= THIN:
+            maps = [np.frombuffer(r[2], np.uint64) for r in rows]
+            keep = may_link(np.array([r[1] for r in rows], np.int64), maps, percent)
+            rows = [r for r, k in zip(rows, keep, strict=True) if k]
+        return [(pivot, r[0]) for r in rows]
+
+    def run(batches):
+        key, rows, out = None, [], []
+
+        def done():
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["pivot", "member"])
 
-    def sets(batches):
         for batch in batches:
-            blobs = [shingle_set(x.as_py(), width).tobytes() for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], ["id", "shingles"])
+            for pivot, *row in zip(*[batch.column(c).to_pylist() for c in ("pivot", "member", "n", "bits")], strict=True):
+                if key != pivot:
+                    if rows:
+                        out += solve(key, rows)
+                    key, rows = pivot, []
+                rows.append(row)
+            if len(out) > 50_000:
+                yield done()
+                out = []
+        if rows:
+            out += solve(key, rows)
+        if out:
+            yield done()
 
-    chosen = slim.join(wanted, slim["doc_id"] == wanted["id"], "left_semi")
-    texts = cut(chosen.mapInArrow(sets, "id bigint, shingles binary"), "sets")
+    dealt = full.repartition(parts, "pivot").sortWithinPartitions("pivot")
+    return dealt.mapInArrow(run, "pivot bigint, member bigint").distinct()
 
-    sizes = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
+
+def search(slim: DataFrame, pairs: DataFrame, *, width: int, percent: int) -> DataFrame:
+    """Links ``a, b`` that connect the groups inside all blocks (``pairs``: pivot, member)."""
+    spark = slim.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"), F.min("member").alias("centre"))
     placed = pairs.join(sizes, "pivot").select("pivot", "chunks", F.pmod(F.xxhash64("member"), F.col("chunks")).alias("chunk"), "member")
-    pivots = sizes.select("pivot", "chunks", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"), F.col("pivot").alias("member"))
-    placed = cut(placed.unionByName(pivots), "blocks")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))
+    centres = sizes.select("pivot", "chunks", every.alias("chunk"), F.col("centre").alias("member"))
+    placed = cut(placed.unionByName(centres).distinct(), "blocks")
+
+    def spread(batches):
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+        for batch in batches:
+            out = []
+            for doc, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                blob = shingle_set(text.as_py(), width).tobytes()
+                out += [(p["pivot"], p["chunk"], doc, p["asks"], blob) for p in places]
+            columns = list(zip(*out, strict=True)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["pivot", "chunk", "member", "asks", "shingles"])
 
     def searched(rows: DataFrame, report: bool) -> DataFrame:
-        full = rows.join(texts, rows["member"] == texts["id"]).select("pivot", "chunk", "member", "asks", "shingles")
-        dealt = full.repartition(parts, "pivot", "chunk").sortWithinPartitions("pivot", "chunk")
+        # One row a document with all the places its set goes to.
+        places = cut(rows.groupBy("member").agg(F.collect_list(F.struct("pivot", "chunk", "asks")).alias("places")), "places")
+        if rows.count() <= BROADCAST_IDS:
+            places = F.broadcast(places)
+        small_batches(spark, 128)
+        sent = slim.join(places, slim["doc_id"] == places["member"]).select("doc_id", "text", "places").mapInArrow(spread, BLOCK)
+        dealt = sent.repartition(parts, "pivot", "chunk").sortWithinPartitions("pivot", "chunk")
         return dealt.mapInArrow(_search_blocks(percent, report), FOUND)
 
     found = cut(searched(placed.withColumn("asks", F.lit(True)), True), "found")
     links = found.filter(~F.col("alone")).select("a", "b")
-    # Members that are not with their pivot, in blocks of several chunks: all chunks are asked.
+    # Members that are not with their centre, in blocks of several chunks: all chunks are asked.
     several = placed.filter("chunks > 1")
-    alone = found.filter("alone").select("pivot", F.col("chunk").alias("own"), F.col("a").alias("member")).join(
-        several.select("pivot").distinct(), "pivot", "left_semi"
-    )
+    alone = found.filter("alone").select("pivot", F.col("a").alias("member")).join(several.select("pivot").distinct(), "pivot", "left_semi")
     alone = cut(alone.distinct(), "alone")
     if alone.isEmpty():
         return links
     ask_sizes = alone.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("asks_chunks"))
     asking = alone.join(ask_sizes, "pivot").withColumn("part", F.pmod(F.xxhash64("member"), F.col("asks_chunks")))
-    spread = several.select("pivot", "chunk", "chunks").distinct()
     code = (F.col("part") * F.col("chunks") + F.col("chunk")).alias("chunk")
-    askers = asking.join(spread, "pivot").select("pivot", code, "member", F.lit(True).alias("asks"))
+    askers = asking.join(several.select("pivot", "chunk", "chunks").distinct(), "pivot").select("pivot", code, "member", F.lit(True).alias("asks"))
     asked = several.join(asking.select("pivot", "part").distinct(), "pivot").select("pivot", code, "member", F.lit(False).alias("asks"))
-    both = askers.unionByName(asked).groupBy("pivot", "chunk", "member").agg(F.max("asks").alias("asks"))
+    both = cut(askers.unionByName(asked).groupBy("pivot", "chunk", "member").agg(F.max("asks").alias("asks")), "across")
     more = cut(searched(both, False), "found-across")
     return links.unionByName(more.select("a", "b"))
 
