@@ -8,8 +8,8 @@ more than <p, q> + |p| s + |q| r + r s.  A pair whose bound does not reach the w
 kth score among its group of queries is pruned; surviving leaf pairs are scored as one
 matrix product.  The k best of every block are merged by rank.
 
-Vectors are integer (quantised); products are exact: in doubles while every sum stays
-below 2^53, in Python integers otherwise.
+Vectors are integer (quantised); products are exact: in floating point while every sum
+stays below 2^45, in Python integers otherwise.
 
 Defined results for odd input: null vectors and vectors with a null or non-finite
 component take no part; vectors of other lengths count as padded with zeros; rows with a
@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 from .common import cut, read_table, small_batches
 
 TOP, SCALE, EVERY = 20, 64, 20
-LEAF = 128
+LEAF = 256
 #: Vectors in a packed block.
 BLOCK_ROWS = 8192
 NULL_ID = np.iinfo(np.int64).max
 
-PACKED = "block bigint, width int, ids binary, vectors binary, asks binary, ask_vectors binary"
+PACKED = "block bigint, width int, rows binary, ids binary, vectors binary"
 
 
 def quantise(raw: list, scale: int) -> np.ndarray | None:
@@ -45,37 +45,28 @@ def quantise(raw: list, scale: int) -> np.ndarray | None:
     return v if np.isfinite(v).all() else None
 
 
-def pack_vectors(vectors: DataFrame, *, every: int = EVERY, scale: int = SCALE) -> DataFrame:
-    """``vec_id, embedding`` as numbered blocks of quantised vectors; the queries among them also apart."""
+def pack_vectors(rows: DataFrame, *, scale: int = SCALE) -> DataFrame:
+    """``row, vec_id, embedding`` as numbered blocks of quantised vectors, one a partition."""
 
     def run(batches):
-        ids, rows = [], []
-
-        def flush():
-            width = max((len(v) for v in rows), default=0)
-            table = np.zeros((len(rows), width))
-            for i, v in enumerate(rows):
-                table[i, : len(v)] = v
-            number = int.from_bytes(np.random.bytes(7), "little")
-            known = np.array(ids, np.int64)
-            asks = np.flatnonzero((known % every == 0) & (known != NULL_ID))
-            blobs = [known, table, asks, table[asks]]
-            cells = [pa.array([number]), pa.array([width], pa.int32()), *[pa.array([b.tobytes()], pa.binary()) for b in blobs]]
-            return pa.RecordBatch.from_arrays(cells, ["block", "width", "ids", "vectors", "asks", "ask_vectors"])
-
+        names, ids, vectors = [], [], []
         for batch in batches:
-            for vec_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for name, vec_id, raw in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 if (v := quantise(raw, scale)) is not None:
+                    names.append(name)
                     ids.append(NULL_ID if vec_id is None else vec_id)
-                    rows.append(v)
-            if len(rows) >= BLOCK_ROWS:
-                yield flush()
-                ids, rows = [], []
-        if rows:
-            yield flush()
+                    vectors.append(v)
+        if not vectors:
+            return
+        width = max(map(len, vectors))
+        table = np.zeros((len(vectors), width))
+        for i, v in enumerate(vectors):
+            table[i, : len(v)] = v
+        blobs = [np.array(names, np.int64), np.array(ids, np.int64), table]
+        cells = [pa.array([names[0]]), pa.array([width], pa.int32()), *[pa.array([b.tobytes()], pa.binary()) for b in blobs]]
+        yield pa.RecordBatch.from_arrays(cells, ["block", "width", "rows", "ids", "vectors"])
 
-    small_batches(vectors.sparkSession, 1024)
-    return vectors.select(F.col("vec_id").cast("bigint"), F.col("embedding").cast("array<double>")).mapInArrow(run, PACKED)
+    return rows.mapInArrow(run, PACKED)
 
 
 class Node:
@@ -121,77 +112,84 @@ def dual_search(q: np.ndarray, x: np.ndarray, q_key: np.ndarray, x_key: np.ndarr
     """For each query the k best rows of ``x`` (score, then smaller id), and their scores.
 
     ``q_key``/``x_key`` name rows: a row is no candidate of itself.  Unused places are -1.
+    A score and the place of its row in id order are kept as one integer, so that the best
+    of a leaf pair are found for all its queries at once.
     """
-    best = np.full((len(q), k), -1, np.int64)
-    score = np.full((len(q), k), -np.inf)
+    shift = int(len(x)).bit_length()
+    none = np.iinfo(np.int64).min
+    place = np.empty(len(x), np.int64)
+    by_id = np.argsort(x_id, kind="stable")
+    place[by_id] = np.arange(len(x) - 1, -1, -1)
+    best = np.full((len(q), k), none)
+    worst = np.full(len(q), none)
     tq, tx = cover_tree(q), cover_tree(x)
-    if tq is None or tx is None:
-        return best, score
+    # Single precision is exact while every sum stays below 2^24.
+    narrow = np.float32 if _most(q, x) < 2.0**24 else np.float64
+    qf, xf = q.astype(narrow), x.astype(narrow)
 
     def bound(a: Node, b: Node) -> float:
         return float(a.centre @ b.centre) + a.norm * b.radius + b.norm * a.radius + a.radius * b.radius
 
     def leaves(a: Node, b: Node) -> None:
-        s = q[a.rows] @ x[b.rows].T
-        s[q_key[a.rows][:, None] == x_key[b.rows][None, :]] = -np.inf
-        for i, r in enumerate(a.rows):
-            hit = np.flatnonzero(s[i] >= score[r, -1])
-            if not len(hit):
-                continue
-            rows = np.r_[best[r][best[r] >= 0], b.rows[hit]]
-            values = np.r_[score[r][best[r] >= 0], s[i, hit]]
-            rows, values = rows[np.isfinite(values)], values[np.isfinite(values)]
-            order = np.lexsort((x_id[rows], -values))[:k]
-            best[r, : len(order)], score[r, : len(order)] = rows[order], values[order]
-
-    queue, tie = [(-bound(tq, tx), 0, tq, tx)], 1
+        s = ((qf[a.rows] @ xf[b.rows].T).astype(np.int64) << shift) | place[b.rows]
+        s[q_key[a.rows][:, None] == x_key[b.rows][None, :]] = none
+        rows = np.flatnonzero((s > worst[a.rows][:, None]).any(1))
+        if len(rows):
+            at = a.rows[rows]
+            both = np.concatenate([best[at], s[rows]], 1)
+            best[at] = np.partition(both, -k, 1)[:, -k:]
+            worst[at] = best[at].min(1)
+
+    queue, tie = [], 0
+    if tq is not None and tx is not None:
+        queue = [(-bound(tq, tx), 0, tq, tx)]
     while queue:
         negative, _, a, b = heapq.heappop(queue)
-        # Rounding of the bound is allowed for; equal scores may still win by id.
-        if -negative * (1 + 1e-9) + 1e-6 < score[a.rows, -1].min():
+        # The bound is rounded; an equal score may still win by its id.
+        if -negative * (1 + 1e-9) + 1e-6 < worst[a.rows].min() >> shift:
             continue
         if not a.children and not b.children:
             leaves(a, b)
             continue
         split_a = a.children and (not b.children or a.radius >= b.radius)
         for c, d in ((c, b) for c in a.children) if split_a else ((a, d) for d in b.children):
-            heapq.heappush(queue, (-bound(c, d), tie, c, d))
             tie += 1
-    return best, score
+            heapq.heappush(queue, (-bound(c, d), tie, c, d))
+    best = np.sort(best, 1)[:, ::-1]
+    empty = best == none
+    rows = by_id[::-1][best & ((1 << shift) - 1)] if len(x) else best
+    return np.where(empty, -1, rows), np.where(empty, 0, best >> shift)
 
 
-FOUND = "query_id bigint, q_row string, vec_id bigint, score bigint"
+FOUND = "query_id bigint, q_row bigint, vec_id bigint, score bigint"
 
 
-def _exact(q: np.ndarray, x: np.ndarray) -> bool:
-    most = max(np.abs(q).max(initial=0), np.abs(x).max(initial=0))
-    return float(most) ** 2 * max(1, q.shape[1]) < 2.0**53
+def _most(q: np.ndarray, x: np.ndarray) -> float:
+    """No sum of products is larger."""
+    return float(max(np.abs(q).max(initial=0), np.abs(x).max(initial=0))) ** 2 * max(1, q.shape[1])
 
 
 def search_blocks(k: int):
+    def read(row: dict, side: str, width: int):
+        names, ids = (np.frombuffer(row[f"{side}_{c}"], np.int64) for c in ("rows", "ids"))
+        vectors = np.zeros((len(ids), width))
+        vectors[:, : row[f"{side}_width"]] = np.frombuffer(row[f"{side}_vectors"]).reshape(len(ids), -1)
+        return names, ids, vectors
+
     def run(batches):
         for batch in batches:
-            out = [[], [], [], []]
             for row in batch.to_pylist():
-                asks, x_id = np.frombuffer(row["q_asks"], np.int64), np.frombuffer(row["x_ids"], np.int64)
-                q_id = np.frombuffer(row["q_ids"], np.int64)
                 width = max(row["q_width"], row["x_width"])
-                q, x = np.zeros((len(asks), width)), np.zeros((len(x_id), width))
-                if len(asks):
-                    q[:, : row["q_width"]] = np.frombuffer(row["q_ask_vectors"]).reshape(len(asks), -1)
-                x[:, : row["x_width"]] = np.frombuffer(row["x_vectors"]).reshape(len(x_id), -1)
-                same = row["q_block"] == row["x_block"]
-                keys = np.arange(len(x_id)) if same else np.full(len(x_id), -1)
-                search = dual_search if _exact(q, x) else exhaustive
-                best, score = search(q, x, asks, keys, x_id, k)
-                for i, a in enumerate(asks):
-                    for b, s in zip(best[i], score[i], strict=True):
-                        if b >= 0:
-                            values = (int(q_id[a]), f"{row['q_block']}:{a}", None if x_id[b] == NULL_ID else int(x_id[b]), int(s))
-                            for column, v in zip(out, values, strict=True):
-                                column.append(v)
-            types = (pa.int64(), pa.string(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["query_id", "q_row", "vec_id", "score"])
+                q_row, q_id, q = read(row, "q", width)
+                x_row, x_id, x = read(row, "x", width)
+                search = dual_search if _most(q, x) < 2.0**45 else exhaustive
+                best, score = search(q, x, q_row, x_row, x_id, k)
+                i, c = np.nonzero(best >= 0)
+                found = x_id[best[i, c]]
+                columns = [
+                    pa.array(q_id[i]), pa.array(q_row[i]), pa.array(found, mask=found == NULL_ID), pa.array([int(s) for s in score[i, c]], pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["query_id", "q_row", "vec_id", "score"])
 
     return run
 
@@ -211,13 +209,16 @@ def exhaustive(q, x, q_key, x_key, x_id, k):
 def top_k(vectors: DataFrame, *, every: int = EVERY, k: int = TOP, scale: int = SCALE) -> DataFrame:
     """``query_id, rank, vec_id, score``: queries are rows whose id is divisible by ``every``."""
     spark = vectors.sparkSession
-    packed = cut(pack_vectors(vectors, every=every, scale=scale), "vectors")
-    side = lambda p, *columns: packed.select(*[F.col(c).alias(f"{p}_{c}") for c in columns])
+    small_batches(spark, 1024)
+    slim = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    rows = cut(slim.select(F.monotonically_increasing_id().alias("row"), "vec_id", "embedding"), "vectors")
+    asks = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
+    blocks = lambda df: cut(pack_vectors(df.repartition(max(1, -(-df.count() // BLOCK_ROWS))), scale=scale), "blocks")
+    side = lambda df, p: df.select(*[F.col(c).alias(f"{p}_{c}") for c in df.columns])
+    data, queries = blocks(rows), blocks(asks)
     # Every block of queries meets every block of candidates: blocks, not rows, are paired.
-    queries = side("q", "block", "width", "ids", "asks", "ask_vectors")
-    queries = queries.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "q_block")
-    met = queries.crossJoin(side("x", "block", "width", "ids", "vectors"))
     small_batches(spark, 1)
+    met = side(queries, "q").crossJoin(side(data.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block"), "x"))
     found = cut(met.mapInArrow(search_blocks(k), FOUND), "neighbours")
     rank = Window.partitionBy("query_id", "q_row").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
     return found.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
