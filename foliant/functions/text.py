@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import lexicon as lx
 
@@ -18,12 +19,12 @@ _SHIELD = {c: chr(0xE000 + i) for i, c in enumerate(lx.SUPERSCRIPT + lx.SUBSCRIP
 _UNSHIELD = {v: k for k, v in _SHIELD.items()}
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc_shielded(s: pd.Series) -> pd.Series:
     def one(t: str | None) -> str | None:
         if t is None:
@@ -34,18 +35,18 @@ def _nfkc_shielded(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def folded(s: pd.Series) -> pd.Series:
     """NFC, casefold, white space to single spaces."""
     return s.map(lambda t: None if t is None else " ".join(unicodedata.normalize("NFC", t).casefold().split()))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def bare(s: pd.Series) -> pd.Series:
     """NFKD, casefold, without combining marks, trimmed: the form headings are matched in."""
 
@@ -57,7 +58,7 @@ def bare(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def is_nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else unicodedata.is_normalized("NFC", t))
 
