@@ -24,7 +24,7 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return rules.judge(rules.statistics(docs, keep=tuple(docs.columns))).filter("kept").select(docs.columns)
+    return rules.accepted(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,6 +42,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def aliased(docs: DataFrame) -> tuple[list[Column], list[str], list[str]]:
+    """The columns of ``docs`` under names that nothing clashes with, these names, and the old ones.
+
+    Operators that hand rows on work beside such columns, so extra columns may have any name.
+    """
+    safe = [f"__kept_{i}" for i in range(len(docs.columns))]
+    return [docs[f"`{c}`"].alias(s) for c, s in zip(docs.columns, safe, strict=True)], safe, docs.columns
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, although ``body`` uses
     it inside lambdas (which would otherwise evaluate it again for every element)."""

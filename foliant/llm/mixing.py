@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, cut, read_table
+from .common import SPACE_CLASS, aliased, cut, read_table
 
 WEIGHTS = (3, 1, 2)
 SHARE, CAP, SEED = 1.5, 2, 17
@@ -156,8 +156,10 @@ def choose(docs: DataFrame, *, keep: list[str] | None = None, weights=WEIGHTS, s
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as it is taken, with the columns of ``docs``."""
-    taken = choose(docs, **options).filter("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
+    kept, safe, names = aliased(docs)
+    taken = choose(docs.select(*kept, "doc_id", "source", "text"), keep=safe, **options).filter("copies > 0")
+    rows = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return rows.select(*[F.col(s).alias(n) for s, n in zip(safe, names, strict=True)])
 
 
 def op4_mix_knapsack(spark: SparkSession, sf_dir: str) -> DataFrame:

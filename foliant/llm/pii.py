@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, digest_spans, find_spans, let, read_table
+from .common import aliased, cut, digest_spans, find_spans, let, read_table
 
 SPAN = "struct<rank:int,start:bigint,kind:string,end:bigint>"
 KINDS = ("email", "ip", "card", "phone", "context")
@@ -171,9 +171,12 @@ def discover(rows: DataFrame, *, rounds: int, accept: float, support: int) -> Da
 
 
 def redact(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with each span of personal data replaced by its kind, ``[EMAIL]`` and so on."""
-    columns = docs.columns
-    text = F.col("text").cast("string")
+    """``docs`` with each span of personal data replaced by its kind, ``[EMAIL]`` and so on.
+
+    Overlapping spans are one replacement, named by the first; ``n_chars``, if there, follows."""
+    kept, safe, names = aliased(docs)
+    at = safe[names.index("text")]
+    text = F.col(at).cast("string")
 
     def replaced(spans: Column) -> Column:
         def step(acc: Column, s: Column) -> Column:
@@ -193,12 +196,18 @@ def redact(docs: DataFrame, **options) -> DataFrame:
     by_start = F.sort_array(
         F.transform(F.col("spans"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
-    out = find(docs, **options).withColumn(
-        "text", F.when(F.size("spans") > 0, let(by_start, replaced)).otherwise(F.col("text"))
-    )
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("n_chars")))
-    return out.select(columns)
+    found = find(docs.select(*kept), text_col=at, **options)
+    changed = F.size("spans") > 0
+    fresh = found.withColumn("_text", F.when(changed, let(by_start, replaced)))
+
+    def out(s: str, name: str) -> Column:
+        if name == "text":
+            return F.coalesce("_text", s).alias(name)
+        if name == "n_chars":
+            return F.when(F.col("_text").isNotNull(), F.length("_text")).otherwise(F.col(s)).cast(docs.schema[name].dataType).alias(name)
+        return F.col(s).alias(name)
+
+    return fresh.select(*[out(s, n) for s, n in zip(safe, names, strict=True)])
 
 
 def op5_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, cut, let, read_table
+from .common import SPACE_CLASS, aliased, cut, let, read_table
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -230,6 +230,14 @@ def judge(
     )
 
 
+def accepted(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` (with ``text, lang, source``) that are kept, with all their columns."""
+    kept, safe, names = aliased(docs)
+    stats = statistics(docs.select(*kept, "text", "lang", "source"), keep=(*safe, "lang", "source"))
+    rows = judge(stats, **options).filter("kept")
+    return rows.select(*[F.col(s).alias(n) for s, n in zip(safe, names, strict=True)])
+
+
 def op2_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and verdict for every document."""
     return judge(statistics(read_table(spark, sf_dir, "documents"))).select(
