@@ -163,15 +163,20 @@ def heading_role(text: Column, lang: Column) -> Column:
     return by_language(lang, role)
 
 
+def filled(value: Column) -> Column:
+    """The value, null if empty; evaluated once, where ``nullif`` would evaluate it twice."""
+    return F.get(F.filter(F.array(value), lambda v: v != ""), F.lit(0))
+
+
 def clause_of_heading(text: Column) -> Column:
     """Clause of a section or heading: annex, leading number, or dotted number at the end."""
     t = F.trim(text)
-    got = lambda pattern: F.nullif(F.regexp_extract(t, pattern, 1), F.lit(""))
-    annex = got(r"(?i)^(?:Annex|Anhang|Annexe)\s+([A-Z]{1,3}(?:\.\d{1,3})*)\b")
+    got = lambda pattern: filled(F.regexp_extract(t, pattern, 1))
+    annex = got(lx.ANNEX_CLAUSE)
     return F.coalesce(
         F.concat(F.lit("Annex "), F.upper(annex)),
-        got(r"^(\d{1,3}(?:\.\d{1,3})*)(?:\s+\D|\s*$)"),
-        got(r"(?:^|\s)(\d{1,3}(?:\.\d{1,3})+)\s*$"),
+        got(lx.LEADING_CLAUSE),
+        got(lx.TRAILING_CLAUSE),
     )
 
 
@@ -180,7 +185,7 @@ def clause_of_body(text: Column, most_words: Column | int) -> Column:
     t = F.trim(text)
     title = F.regexp_replace(t, r"(\s*\([^)]*\)\s*)+$", "")
     short = F.size(F.filter(F.split(title, r"\s+"), lambda w: w != "")) <= most_words
-    number = F.nullif(F.regexp_extract(t, r"^(\d{1,3}(?:\.\d{1,3})+)\s+\D", 1), F.lit(""))
+    number = filled(F.regexp_extract(t, lx.NUMBERED_TITLE, 1))
     return F.when(short, number)
 
 
@@ -221,7 +226,7 @@ def triage(text: Column, n_images: Column) -> Column:
 def pseudo_lines(text: Column) -> Column:
     """Entries that end in a page number; the whole text if there are none."""
     found = F.transform(
-        F.regexp_extract_all(text, F.lit(r"(?s).*?(?:[.\s]{2,}\d{1,4}|,\s*\d{1,4})(?=\s+\S|\s*$)"), F.lit(0)), lambda x: F.trim(x)
+        F.regexp_extract_all(text, F.lit(lx.ENTRY_END), F.lit(0)), lambda x: F.trim(x)
     )
     return F.when(F.size(found) > 0, found).otherwise(F.array(text))
 
@@ -232,9 +237,8 @@ def references(text: Column) -> Column:
     Lead words must stand alone and numbers must end: "temper 5" and "per 61000-4" are no references.
     """
     number = r"\d{1,3}(?:\.\d{1,3})*(?![\d-])"
-    lead = "see|refer\\s+to|according\\s+to|in\\s+accordance\\s+with|per|siehe|gem[äa]ß|nach|entsprechend|clause|subclause|section|abschnitt|kapitel|sec\\.?"
     kinds = (
-        ("clause", rf"(?iU)\b(?:{lead})\s*\[?\s*({number})\s*\]?", lambda x: x),
+        ("clause", rf"(?iU)\b(?:{lx.REFERENCE_LEADS})\s*\[?\s*({number})\s*\]?", lambda x: x),
         ("annex", r"(?iU)\b(?:annex|anhang|annexe)\s+([A-Z]{1,3}(?:\.\d{1,3})*)\b", lambda x: F.concat(F.lit("Annex "), F.upper(x))),
         ("table", rf"(?iU)\b(?:table|tabelle)\s+({number})", lambda x: F.concat(F.lit("Table "), x)),
         ("figure", rf"(?iU)\b(?:figure|fig\.?|bild|abbildung)\s+({number})", lambda x: F.concat(F.lit("Figure "), x)),

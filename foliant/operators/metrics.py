@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import lexicon as lx
 from ..functions import text as tx
 
 
@@ -45,7 +46,7 @@ def heading_candidate(text: Column) -> Column:
     """Dotted clause of a line that is short, no contents entry and no classification code."""
     t = F.trim(text)
     clause = tx.clause_of_heading(t)
-    ok = (F.length(t) <= 120) & ~t.rlike(r"(?i)^(?:ics|ccs|udc)\b") & ~t.rlike(r"[.\s]{2,}\d{1,4}\s*$") & (F.size(F.split(t, r"\s+")) <= 8)
+    ok = (F.length(t) <= 120) & ~t.rlike(lx.METADATA_CODE) & ~t.rlike(lx.NUMBER_AT_END) & (F.size(F.split(t, r"\s+")) <= 8)
     return F.when(ok & (F.instr(F.regexp_replace(clause, "Annex", ""), ".") > 0), clause)
 
 

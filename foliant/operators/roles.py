@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from .. import lexicon as lx
 
-NUMBER_AT_END = r"[.\s]{2,}\d{1,4}\s*$"
-
-
 def headings(spark: SparkSession) -> DataFrame:
     """Known headings with their role, pooled over languages."""
     from ..functions.text import bare
@@ -25,7 +22,7 @@ def shapes(lines: DataFrame, *keys: str) -> DataFrame:
     head = F.lower(F.get(F.split("line", r"[.\s]{2,}"), F.lit(0)))
     filled = lines.filter(F.trim("line") != "").withColumn("head", head)
     sorted_ok = F.when(F.lag("head").over(w).isNotNull(), (F.lag("head").over(w) <= F.col("head")).cast("double"))
-    numbered = F.col("line").rlike(NUMBER_AT_END)
+    numbered = F.col("line").rlike(lx.NUMBER_AT_END)
     per = filled.withColumn("_ok", sorted_ok).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(numbered.cast("double")).alias("toc_share"),

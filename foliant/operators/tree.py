@@ -22,8 +22,8 @@ def build(items: DataFrame, levels: int = 6) -> DataFrame:
     """Nodes of layout items: type, parent.  A heading's parent is the nearest earlier heading of a
     smaller level, other content's the last heading.  Page furniture and unknown labels go;
     headings that read like captions or legends become captions and notes."""
-    caption = items["text"].rlike(r"(?i)^(table|figure|fig\.|tabelle|bild|abbildung|abb\.|tab\.)\s*\d+")
-    legend = items["text"].rlike(r"(?iu)^(legende|zeichenerkl[äa]rung|legend|key)\s*:?\s*$")
+    caption = items["text"].rlike(lx.CAPTION_LIKE)
+    legend = items["text"].rlike(lx.BLOCK_LABEL)
     plain = F.try_element_at(F.create_map(*[F.lit(x) for p in lx.NODE_TYPES.items() for x in p]), F.col("label"))
     heading = F.col("label").isin(*lx.HEADING_LABELS)
     kind = (
@@ -75,7 +75,7 @@ def merge_numbers(nodes: DataFrame) -> DataFrame:
     """A node that is a clause number alone joins the short unnumbered title after it on its page;
     the joined text stands at the title, the number's node goes (its children stay)."""
     w = Window.partitionBy("edition").orderBy("pre")
-    lone = F.col("text").rlike(r"(?i)^\s*(?:\d{1,3}(?:\.\d{1,3})*|(?:annex|anhang|annexe)\s+[A-Z]{1,3})\s*$")
+    lone = F.col("text").rlike(lx.LONE_NUMBER)
     words = F.size(F.filter(F.split("text", r"\s+"), lambda x: x != ""))
     title = F.col("type").isin("section", "heading", "paragraph", "list_item") & (words <= 12) & tx.clause_of_heading(F.col("text")).isNull()
     n = nodes.withColumns({"_lone": F.coalesce(lone, F.lit(False)), "_title": F.coalesce(title, F.lit(False))})

@@ -1001,3 +1001,40 @@ def str1_idempotent(spark, d):
     first = docs.dropDuplicates(["key"])
     again = docs.join(first.select("key"), "key", "left_anti")
     return first.agg(F.count(F.lit(1)).alias("stored")).crossJoin(again.agg(F.count(F.lit(1)).alias("second")))
+
+
+@query(
+    "SELECT greatest(tax % 3, 1)::BIGINT AS span, count(*) AS cells FROM fx_rows GROUP BY 1", "fx_rows"
+)
+def tree3_cells(spark, d):
+    """TREE3: a cell spans at least one column."""
+    cells = fx(spark, d, "fx_rows").select("disc", (F.col("disc") + F.col("tax") % 3).alias("end"))
+    return cells.groupBy(F.greatest(F.col("end") - F.col("disc"), F.lit(1)).cast("bigint").alias("span")).agg(F.count(F.lit(1)).alias("cells"))
+
+
+@query(
+    _CLAUSES + ", h AS (SELECT edition, clause FROM c WHERE clause LIKE '%.%'), k AS (SELECT DISTINCT edition, number AS clause FROM fx_nodes)"
+    " SELECT count(*) AS total, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM k WHERE k.edition = h.edition AND k.clause = h.clause)) AS hit FROM h",
+    "fx_nodes",
+)
+def jn8_heading_recall(spark, d):
+    """JN8: clause headings of the source that the extraction has."""
+    n = fx(spark, d, "fx_nodes")
+    lines = n.filter("type = 'section'").select("edition", mt.heading_candidate(F.col("text")).alias("clause")).filter("clause is not null")
+    known = n.filter("number is not null").select("edition", F.col("number").alias("clause")).distinct().withColumn("known", F.lit(True))
+    return lines.join(known, ["edition", "clause"], "left").agg(F.count(F.lit(1)).alias("total"), F.count("known").alias("hit"))
+
+
+@query()
+def assemble_editions(spark, d):
+    """The passes of an edition in order: nodes by type and role, with what the gates found."""
+    from .assemble import assemble
+
+    n = fx(spark, d, "fx_nodes")
+    label = F.when(F.col("type") == "section", "section_header").otherwise("text")
+    bundle = assemble(n.select("edition", "pre", "page", label.alias("label"), F.when(F.col("type") == "section", 1).alias("level"), "text", "lang"))
+    found = bundle.outcomes.groupBy("edition", "pre").agg(F.count(F.lit(1)).alias("outcomes"))
+    return (
+        bundle.nodes.join(found, ["edition", "pre"], "left").groupBy("type", "cdm_type")
+        .agg(F.count(F.lit(1)).alias("nodes"), F.count("parent").alias("placed"), F.coalesce(F.sum("outcomes"), F.lit(0)).alias("outcomes"))
+    )
