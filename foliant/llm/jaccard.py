@@ -52,7 +52,7 @@ HOT = 64
 #: Entries gathered before they are packed and sent.
 FLUSH = 400_000
 CHUNK = 256
-#: Blocks of up to this many members are thinned out by bitmaps.
+#: Blocks of fewer members are thinned out by bitmaps.
 THIN = 4096
 #: Ids of at most this many candidates are broadcast to fetch their texts (8 bytes each);
 #: more are joined by a shuffle.
@@ -492,16 +492,19 @@ def thin(pairs: DataFrame, maps: DataFrame, *, percent: int) -> DataFrame:
     """Blocks (``pivot, member``) without the members that cannot link inside them.
     ``maps``: id, size and parity bitmap of each set."""
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    own = pairs.select("pivot", F.col("pivot").alias("member")).distinct()
-    bits = maps.withColumnRenamed("id", "member")
-    full = pairs.select("pivot", "member").unionByName(own).join(bits, "member").select("pivot", "member", "n", "bits")
+    counts = pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"))
+    sized = cut(pairs.join(counts, "pivot"), "sized")
+    own = sized.select("pivot", F.col("pivot").alias("member"), "members").distinct()
+    every = sized.select("pivot", "member", "members").unionByName(own)
+    # A large block is not gathered: it stays whole, and is searched in chunks.
+    large = every.filter(F.col("members") >= THIN).select("pivot", "member")
+    small = every.filter(F.col("members") < THIN).select("pivot", "member")
+    full = small.join(maps.withColumnRenamed("id", "member"), "member").select("pivot", "member", "n", "bits")
 
     def solve(pivot: int, rows: list) -> list[tuple[int, int]]:
-        if len(rows) <= THIN:
-            maps = [np.frombuffer(r[2], np.uint64) for r in rows]
-            keep = may_link(np.array([r[1] for r in rows], np.int64), maps, percent)
-            rows = [r for r, k in zip(rows, keep, strict=True) if k]
-        return [(pivot, r[0]) for r in rows]
+        bitmaps = [np.frombuffer(r[2], np.uint64) for r in rows]
+        keep = may_link(np.array([r[1] for r in rows], np.int64), bitmaps, percent)
+        return [(pivot, r[0]) for r, k in zip(rows, keep, strict=True) if k]
 
     def run(batches):
         key, rows, out = None, [], []
@@ -525,7 +528,7 @@ def thin(pairs: DataFrame, maps: DataFrame, *, percent: int) -> DataFrame:
             yield done()
 
     dealt = full.repartition(parts, "pivot").sortWithinPartitions("pivot")
-    return dealt.mapInArrow(run, "pivot bigint, member bigint").distinct()
+    return dealt.mapInArrow(run, "pivot bigint, member bigint").unionByName(large).distinct()
 
 
 def search(slim: DataFrame, pairs: DataFrame, *, width: int, percent: int) -> DataFrame:
