@@ -1,7 +1,7 @@
 """Personal data: bootstrapped contextual extraction (DataFrame functions only).
 
-Seeds are the base matches: e-mail and IP addresses, card and phone numbers.  Words that
-look like identifiers (many digits, or an ``@``) are instances; the words around them
+Seeds are the base matches: e-mail and IP addresses, card and phone numbers, each as a whole.
+Seeds and runs of words with digits (or an ``@``) are instances; the words around them
 are lexical patterns.  Patterns and instances form a bipartite graph that is scored in
 rounds: a pattern is as good as the instances it catches, an instance as good as the
 patterns that catch it.  Patterns that reach ``accept`` after the last round mark the
@@ -32,10 +32,23 @@ PATTERNS = {
 }
 #: Cheap tests that any accepted match passes.
 HINTS = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "(?:[0-9][\\x20-]?){13}", "phone": "\\+[0-9]"}
-#: Words with at least six digits or an @, with the two words before and the one after.
+#: Stands for the characters of base matches where candidates are looked for; U+FFFF is no character.
+MASK = "￿"
+#: A word with a digit or an @ and nothing masked.
+_WORD = "[^\\x20\\x09-\\x0D0-9@￿]*+[0-9@][^\\x20\\x09-\\x0D￿]*+(?![^\\x20\\x09-\\x0D])"
+#: Runs of such words, a space apart; groups of capitals may lie between, before and after.
+RUN = (
+    f"(?<![^\\x20\\x09-\\x0D])(?:[A-Z]{{1,4}}\\x20)?+{_WORD}(?:(?<![,;:!?.])\\x20(?:[A-Z]{{1,4}}\\x20)?+{_WORD})*+"
+    "(?:(?<![,;:!?.])\\x20[A-Z]{1,3}(?![^\\x20\\x09-\\x0D.,;:!?)\\]]))?+"
+)
+LEAD, TAIL = "^[A-Z]{1,4}\\x20", "\\x20[A-Z]{1,3}$"
+#: Words of a run that are candidates of their own: with at least six digits or an @.
 INSTANCE = (
     "(?<![^\\x20\\x09-\\x0D])(?=[^\\x20\\x09-\\x0D@]*+@|(?:[^\\x20\\x09-\\x0D0-9]*+[0-9]){6})[^\\x20\\x09-\\x0D]+"
 )
+#: Of the text beside an instance only so much is looked at; texts are held in blocks of BLOCK for that.
+BESIDE, BLOCK = 200, 1024
+PLACE = "struct<start:bigint,end:bigint,instance:string,run:bigint,whole:boolean,seed:boolean>"
 ROUNDS, ACCEPT, SUPPORT = 3, 0.9, 5
 
 
@@ -80,26 +93,85 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of(rank, kind) for rank, kind in enumerate(PATTERNS)])
 
 
-def _instances(text: Column) -> Column:
-    """Identifier-like words without surrounding punctuation, and the words around them."""
+def _seeds(text: Column, base: Column) -> Column:
+    """``seeds``: base matches that do not overlap an earlier one; ``masked``: the text with all matches masked."""
+    part = lambda at, n: F.substring(text, (at + 1).cast("int"), n.cast("int"))
 
-    def one(s: Column) -> Column:
-        lead = F.length(F.regexp_extract(s["hit"], "^[^A-Za-z0-9+@]*", 0))
-        core = F.regexp_replace(F.regexp_replace(s["hit"], "^[^A-Za-z0-9+@]+", ""), "[^A-Za-z0-9]+$", "")
-        start = s["start"] + lead
-        word = lambda gap, pattern: F.lower(F.regexp_extract(gap, pattern, 1))
-        # Only the ends of the gaps are looked at, however long they are.
-        left, right = F.right(s["before"], F.lit(200)), F.left(s["after"], F.lit(200))
+    def step(acc: Column, s: Column) -> Column:
+        fresh = F.struct(
+            s["start"].alias("start"), s["end"].alias("end"), part(s["start"], s["end"] - s["start"]).alias("instance"),
+            s["start"].alias("run"), F.lit(True).alias("whole"), F.lit(True).alias("seed"),
+        )
+        start = F.greatest(s["start"], acc["at"])
+        hidden = F.repeat(F.lit(MASK), F.greatest(s["end"] - start, F.lit(0)).cast("int"))
         return F.struct(
-            start.alias("start"),
-            (start + F.length(core)).alias("end"),
-            core.alias("instance"),
-            word(left, "([^\\x20\\x09-\\x0D]*)[\\x20\\x09-\\x0D]*$").alias("l1"),
-            word(left, "([^\\x20\\x09-\\x0D]*)[\\x20\\x09-\\x0D]+[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*$").alias("l2"),
-            word(right, "^[\\x20\\x09-\\x0D]*([^\\x20\\x09-\\x0D]*)").alias("r1"),
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.concat(acc["out"], F.array(part(acc["at"], start - acc["at"]), hidden)).alias("out"),
+            F.when(s["start"] >= acc["at"], F.concat(acc["seeds"], F.array(fresh))).otherwise(acc["seeds"]).alias("seeds"),
         )
 
-    return F.transform(find_spans(text, INSTANCE), one)
+    zero = F.struct(
+        F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"), F.array().cast(f"array<{PLACE}>").alias("seeds")
+    )
+    by_start = F.array_sort(base, lambda x, y: F.when(x["start"] != y["start"], F.signum(x["start"] - y["start"])).otherwise(F.signum(y["end"] - x["end"])).cast("int"))
+    done = lambda acc: F.struct(
+        acc["seeds"].alias("seeds"), F.concat(F.array_join(acc["out"], ""), part(acc["at"], F.length(text))).alias("masked")
+    )
+    none = F.struct(F.array().cast(f"array<{PLACE}>").alias("seeds"), text.alias("masked"))
+    return F.when(F.size(base) > 0, F.aggregate(by_start, zero, step, done)).otherwise(none)
+
+
+def _candidates(masked: Column) -> Column:
+    """Runs of words with digits, without and with the capitals around them, and long words inside them."""
+
+    def place(start: Column, hit: Column, run: Column, whole: bool) -> Column:
+        lead = F.length(F.regexp_extract(hit, "^[^A-Za-z0-9+@]*", 0))
+        core = F.regexp_replace(F.regexp_replace(hit, "^[^A-Za-z0-9+@]+", ""), "[^A-Za-z0-9]+$", "")
+        return F.struct(
+            (start + lead).alias("start"), (start + lead + F.length(core)).alias("end"), core.alias("instance"),
+            run.alias("run"), F.lit(whole).alias("whole"), F.lit(False).alias("seed"),
+        )
+
+    def of(s: Column) -> Column:
+        lead = F.length(F.regexp_extract(s["hit"], LEAD, 0))
+        inner = F.regexp_replace(F.regexp_replace(s["hit"], LEAD, ""), TAIL, "")
+        core = F.array(place(s["start"] + lead, inner, s["start"], True))
+        full = F.when(lead > 0, F.array(place(s["start"], s["hit"], s["start"], True))).otherwise(F.array().cast(f"array<{PLACE}>"))
+        words = F.transform(find_spans(s["hit"], INSTANCE), lambda w: place(s["start"] + w["start"], w["hit"], s["start"], False))
+        several = F.when(inner.contains(" "), words).otherwise(F.array().cast(f"array<{PLACE}>"))
+        return F.concat(core, full, several)
+
+    return F.filter(F.flatten(F.transform(find_spans(masked, RUN), of)), lambda o: o["instance"] != "")
+
+
+def _instances(text: Column, places: Column) -> Column:
+    """``places`` with the two words before and the one after."""
+    word = lambda gap, pattern: F.lower(F.regexp_extract(gap, pattern, 1))
+
+    def of_blocks(blocks: Column) -> Column:
+        def beside(at: Column) -> Column:
+            i = F.floor(at / BLOCK).cast("int")
+            two = F.concat(F.coalesce(F.get(blocks, i), F.lit("")), F.coalesce(F.get(blocks, i + 1), F.lit("")))
+            return F.substring(two, (at - i * BLOCK + 1).cast("int"), F.lit(BESIDE))
+
+        def one(s: Column) -> Column:
+            from_ = F.greatest(s["start"] - BESIDE, F.lit(0).cast("bigint"))
+            before = F.left(beside(from_), (s["start"] - from_).cast("int"))
+            # Brackets and the like that touch the instance are not words.
+            left = F.regexp_replace(before, "(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D\\p{L}\\p{N}]+$", "")
+            right = F.regexp_replace(beside(s["end"]), "^[^\\x20\\x09-\\x0D\\p{L}\\p{N}]+", "")
+            return F.struct(
+                *[s[c].alias(c) for c in ("start", "end", "instance", "run", "whole", "seed")],
+                word(left, "([^\\x20\\x09-\\x0D]*)[\\x20\\x09-\\x0D]*$").alias("l1"),
+                word(left, "([^\\x20\\x09-\\x0D]*)[\\x20\\x09-\\x0D]+[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*$").alias("l2"),
+                word(right, "^[\\x20\\x09-\\x0D]*([^\\x20\\x09-\\x0D]*)").alias("r1"),
+            )
+
+        return F.transform(places, one)
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    empty = F.array().cast("array<struct<start:bigint,end:bigint,instance:string,run:bigint,whole:boolean,seed:boolean,l1:string,l2:string,r1:string>>")
+    return F.when(F.size(places) > 0, let(blocks, of_blocks)).otherwise(empty)
 
 
 def _patterns(o: Column) -> Column:
@@ -115,24 +187,20 @@ def find(
 ) -> DataFrame:
     """All rows of ``docs`` with ``spans``: base matches first by kind, discovered ones last."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = cut(
-        docs.withColumns(
-            {"_row": F.monotonically_increasing_id(), "_base": base_spans(text), "_words": _instances(text)}
-        ),
-        "pii",
-    )
-    found = discover(rows.select("_row", "_base", "_words"), rounds=rounds, accept=accept, support=support)
+    # Each step is computed once a row.
+    words = lambda z: let(F.concat(z["seeds"], _candidates(z["masked"])), lambda p: _instances(text, p))
+    both = let(base_spans(text), lambda b: F.struct(b.alias("base"), let(_seeds(text, b), words).alias("words")))
+    marked = cut(docs.withColumns({"_row": F.monotonically_increasing_id(), "_both": both}), "pii")
+    rows = marked.withColumns({"_base": F.col("_both.base"), "_words": F.col("_both.words")}).drop("_both")
+    found = discover(rows.select("_row", "_words"), rounds=rounds, accept=accept, support=support)
     spans = F.concat(F.col("_base"), F.coalesce(F.col("_extra"), F.array().cast(f"array<{SPAN}>")))
     return rows.join(found, "_row", "left").withColumn("spans", spans).drop("_row", "_base", "_words", "_extra")
 
 
 def discover(rows: DataFrame, *, rounds: int, accept: float, support: int) -> DataFrame:
     """``_row, _extra``: spans that only the context gives away."""
-    occurrences = rows.select("_row", "_base", F.explode("_words").alias("o")).select(
-        "_row",
-        "o",
-        F.exists("_base", lambda s: (s["start"] < F.col("o.end")) & (s["end"] > F.col("o.start"))).alias("seed"),
-        F.explode(_patterns(F.col("o"))).alias("pattern"),
+    occurrences = rows.select("_row", F.explode("_words").alias("o")).select(
+        "_row", "o", F.col("o.seed").alias("seed"), F.explode(_patterns(F.col("o"))).alias("pattern")
     )
     edges = cut(
         occurrences.groupBy("pattern", F.col("o.instance").alias("instance")).agg(F.max("seed").alias("seed")),
@@ -159,15 +227,18 @@ def discover(rows: DataFrame, *, rounds: int, accept: float, support: int) -> Da
                 f"pii-instances-{k}",
             )
     good = patterns.filter(F.col("worth") >= accept).select("pattern")
-    hits = (
-        occurrences.filter(~F.col("seed"))
-        .join(good, "pattern", "left_semi")
-        .select("_row", F.struct(
-            F.lit(KINDS.index("context")).alias("rank"), F.col("o.start").alias("start"),
-            F.lit("context").alias("kind"), F.col("o.end").alias("end"),
-        ).alias("span"))
-    )
-    return hits.groupBy("_row").agg(F.sort_array(F.collect_set("span")).alias("_extra"))
+    span = lambda start, end: F.struct(
+        F.lit(KINDS.index("context")).alias("rank"), start.alias("start"), F.lit("context").alias("kind"), end.alias("end")
+    )
+    hits = occurrences.filter(~F.col("seed")).join(good, "pattern", "left_semi").select("_row", "o.run", "o.whole", "o.start", "o.end")
+    # Of a run that is caught as a whole, the words inside are not named again.
+    runs = hits.groupBy("_row", "run").agg(
+        F.min(F.when(F.col("whole"), F.col("start"))).alias("start"),
+        F.max(F.when(F.col("whole"), F.col("end"))).alias("end"),
+        F.collect_set(span(F.col("start"), F.col("end"))).alias("words"),
+    )
+    spans = F.when(F.col("start").isNotNull(), F.array(span(F.col("start"), F.col("end")))).otherwise(F.col("words"))
+    return runs.select("_row", spans.alias("spans")).groupBy("_row").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("_extra"))
 
 
 def redact(docs: DataFrame, **options) -> DataFrame:

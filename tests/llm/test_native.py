@@ -121,6 +121,26 @@ def test_context_discovers_what_no_rule_matches(spark):
     assert out[0] == "words before employee number: [EMAIL] and after" and out[50] == "words before employee number: [CONTEXT] and after" and out[52] is None
 
 
+def spans_by_id(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {r["doc_id"]: [(s["kind"], r["text"][s["start"] : s["end"]]) for s in r["spans"]] for r in pii.find(df).collect()}
+
+
+def test_contexts_come_from_whole_seeds_and_find_grouped_identifiers(spark):
+    texts = [f"please ring (+1 (017) 555-77{i:02d}), soon" for i in range(12)]
+    texts += [f"the host at 10.1.2.{i % 10} went" for i in range(10)]
+    n = len(texts)
+    texts += ["please ring 017 55 77 X9 soon", "please ring AB 12 34 56 C soon", "the host at 1022 went", "the box of 1022 33 went", "é " * 1500 + "please ring (77 12), soon"]
+    texts += ["please ring a@b.co 77 13 soon"]
+    got = spans_by_id(spark, texts)
+    assert got[n] == [("context", "017 55 77 X9")]
+    assert got[n + 1] == [("context", "AB 12 34 56 C")]
+    assert got[n + 2] == [("context", "1022")]
+    assert got[n + 3] == []
+    assert got[n + 4] == [("context", "77 12")]
+    assert got[n + 5] == [("email", "a@b.co")]
+
+
 def test_redact_keeps_clashing_columns(spark):
     rows = [(1, "a@b.co x 10.1.2.3", 7, "s", 17), (1, None, None, None, None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, spans int, _row string, n_chars bigint")
