@@ -209,11 +209,13 @@ def discover(rows: DataFrame, *, rounds: int, accept: float, support: int) -> Da
     score = None
     for k in range(rounds):
         scored = edges if score is None else edges.join(score, "instance", "left")
+        # Instances accepted in the round before support new patterns as seeds do.
+        trusted = F.col("seed") if score is None else F.col("seed") | F.coalesce(F.col("score") >= accept, F.lit(False))
         value = F.when(F.col("seed"), 1.0).otherwise(F.lit(0.0) if score is None else F.coalesce("score", F.lit(0.0)))
         patterns = cut(
             scored.groupBy("pattern")
-            .agg(F.sum(value).alias("good"), F.count(F.lit(1)).alias("n"), F.count_if("seed").alias("seeds"))
-            .filter(F.col("seeds") >= support)
+            .agg(F.sum(value).alias("good"), F.count(F.lit(1)).alias("n"), F.count_if(trusted).alias("support"))
+            .filter(F.col("support") >= support)
             .select("pattern", (F.col("good") / (F.col("n") + 0.5)).alias("worth"))
             .filter(F.col("worth") >= 0.5),
             f"pii-patterns-{k}",

@@ -141,6 +141,17 @@ def test_contexts_come_from_whole_seeds_and_find_grouped_identifiers(spark):
     assert got[n + 5] == [("email", "a@b.co")]
 
 
+def test_discovered_identifiers_induce_patterns(spark):
+    texts = [f"our staff number: user{i}@mail.example.org today" for i in range(60)]
+    texts += [f"our staff number: 77-12345{i}-X today" for i in range(6)]
+    texts += [f"he signed as 77-12345{i}-X yesterday" for i in range(6)]
+    n = len(texts)
+    texts += ["he signed as 88-654321-Y yesterday", "a box of 88 65 today"]
+    got = spans_by_id(spark, texts)
+    assert [got[i] for i in range(n - 6, n)] == [[("context", f"77-12345{i}-X")] for i in range(6)]
+    assert got[n] == [("context", "88-654321-Y")] and got[n + 1] == []
+
+
 def test_redact_keeps_clashing_columns(spark):
     rows = [(1, "a@b.co x 10.1.2.3", 7, "s", 17), (1, None, None, None, None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, spans int, _row string, n_chars bigint")
