@@ -28,13 +28,13 @@ from .common import SPACE_CLASS, aliased, cut, let, read_table
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-DIM = 5
+DIM = 6
 #: Least standard deviations; a dimension in which a group hardly varies (no symbols, no
 #: repeated lines) must not turn tiny differences into huge distances.
-FLOOR_SD = (0.08, 0.45, 0.55, 0.6, 0.4)
+FLOOR_SD = (0.08, 0.45, 0.55, 0.6, 0.4, 0.3)
 COVERAGE = 0.6
-#: h / P(chi2_{d+2} <= chi2_{d,h}) for d = 5, h = 0.6: makes the trimmed covariance consistent.
-CONSISTENCY = 1.69
+#: h / P(chi2_{d+2} <= chi2_{d,h}) for d = 6, h = 0.6: makes the trimmed covariance consistent.
+CONSISTENCY = 1.6
 CUTOFF = 42.0
 STEPS = 5
 LEAST = 40
@@ -86,6 +86,7 @@ def statistics(docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id", "lang", "s
             F.size(w).cast("bigint").alias("n_words"),
             F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
             _repeat_words(w).alias("n_repeat_words"),
+            F.size(F.filter(w, lambda x, i: x == F.get(w, i - 1))).cast("bigint").alias("n_same_before"),
         )
 
     count = lambda chars: F.length(F.regexp_replace(text, f"[^{chars}]+", "")).cast("bigint")
@@ -95,7 +96,7 @@ def statistics(docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id", "lang", "s
         count(SYMBOLS).alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
         count("A-Z").alias("n_upper"),
-    ).select("*", "w.n_words", "w.word_chars", "w.n_repeat_words").drop("w")
+    ).select("*", "w.n_words", "w.word_chars", "w.n_repeat_words", "w.n_same_before").drop("w")
 
 
 def _vector() -> list[Column]:
@@ -107,6 +108,7 @@ def _vector() -> list[Column]:
         per_hundred("n_dup_lines"),
         per_hundred("n_repeat_words"),
         F.log1p(100 * F.col("n_upper") / (F.col("word_chars") + 100)),
+        per_hundred("n_same_before"),
     ]
 
 

@@ -212,6 +212,22 @@ def test_mcd_finds_outliers_and_equals_numpy(spark):
     assert np.allclose([got[r["doc_id"]]["distance"] for r in vec], d2, rtol=1e-6)
 
 
+def test_words_repeated_in_short_runs_are_outliers(spark):
+    rnd = random.Random(7)
+    words = ["".join(rnd.choices("abcdefgh", k=rnd.randint(2, 8))) for _ in range(400)]
+    rows = []
+    for i in range(200):
+        text = rnd.choices(words, k=rnd.randint(60, 200))
+        rows.append((i, " ".join(w for w in text for _ in range(rnd.randint(5, 8) if i < 8 else 1)), "en", "s"))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    stats = quality.statistics(df)
+    got = {r["doc_id"]: r for r in quality.judge(stats).collect()}
+    assert all((r["base_failed"], r["kept"]) == (False, i >= 8) for i, r in got.items())
+    for i, text, *_ in rows:
+        w = text.split()
+        assert got[i]["n_same_before"] == sum(a == b for a, b in zip(w, w[1:], strict=False))
+
+
 def test_quality_odd_input(spark):
     df = spark.createDataFrame([(1, None, None, None, 5), (1, None, None, None, 5), (None, "a " * 30, None, "s", 6)], "doc_id bigint, text string, lang string, source string, x0 int")
     got = sorted(map(str, (tuple(r) for r in quality.accepted(df).collect())))
