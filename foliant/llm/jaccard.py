@@ -6,7 +6,8 @@ threshold.  The join runs in four steps and misses no link:
 1. *Blocks.*  Linked sets of similar size differ in few shingles, d at most.  Each set is
    dealt by hash into d + 1 + ``SPARE`` segments, so linked sets agree on more than
    ``SPARE`` whole segments; the fingerprints of all filled segments, and of every
-   (SPARE + 1)-subset of empty ones, are compared.  All sets that share one form a block
+   (SPARE + 1)-subset of empty ones, are compared.  Sets of ``LONG`` shingles and more get more
+   spare segments than stay empty, so their filled segments are enough.  All sets that share one form a block
    around the smallest id in it, its pivot.  Fingerprints travel as packed arrays.
    Before whole sets travel, parity bitmaps of them do: two bitmaps differ in at most as many
    places as the sets, so members of a block that differ from all others in too many places
@@ -37,6 +38,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +49,8 @@ from pyspark.sql import functions as F
 from .common import cut, read_table, small_batches
 
 SPARE = 2
+#: From bands of such sets on, more segments are spare than stay empty.
+LONG = 5000
 #: A fingerprint held by this many sets of one flush is sent as one entry.
 HOT = 64
 #: Entries gathered before they are packed and sent.
@@ -91,6 +95,7 @@ class Bands:
 
     def __init__(self, percent: int):
         self.percent, self.edges = percent, [1]
+        self.spares: dict[int, int] = {}
 
     def of(self, n: int) -> int:
         import bisect
@@ -106,6 +111,23 @@ class Bands:
         total = self.edges[band + 1] - 1 + self.edges[band + 2] - 1
         return total * (100 - self.percent) // (100 + self.percent)
 
+    def spare(self, band: int) -> int:
+        """Segments beyond d + 1.  In long bands as many as the empty ones of the smallest set and ten
+        standard deviations, so that linked sets agree on a filled segment."""
+        d, n = self.differences(band), self.edges[band]
+        if n < LONG:
+            return SPARE
+        if band not in self.spares:
+            s = SPARE
+            while True:
+                empty = (d + 1 + s) * math.exp(-n / (d + 1 + s))
+                need = math.ceil(empty + 10 * math.sqrt(empty))
+                if need <= s:
+                    break
+                s = need
+            self.spares[band] = s
+        return self.spares[band]
+
 
 def fingerprints(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     """Fingerprints of which linked, unequal sets share at least one."""
@@ -117,12 +139,18 @@ def fingerprints(shingles: np.ndarray, bands: Bands) -> np.ndarray:
         d = bands.differences(band) if band >= 0 else 0
         if not d:
             continue
-        k = d + 1 + SPARE
+        spare = bands.spare(band)
+        k = d + 1 + spare
         segment = ((shingles >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
         starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
         tag = np.array([band * 2_000_003 + 1], np.uint64) * _ODD[0]
         out.append(mix64(np.add.reduceat(mixed, starts) + mix64(segment[starts] * _ODD[1] + tag)))
-        if len(starts) <= d:
+        if len(starts) > d:
+            continue
+        if spare > SPARE:
+            # More empty segments than spare ones, by chance: all such sets of the band meet.
+            out.append(mix64(tag * _ODD[4]))
+        else:
             empty = np.setdiff1d(np.arange(k, dtype=np.uint64), segment[starts])
             subsets = np.array(list(itertools.combinations(empty, SPARE + 1)), np.uint64)
             key = subsets[:, 0]

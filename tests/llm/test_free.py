@@ -1,5 +1,6 @@
 """Packing, mixing, chat, joins, search, pages and the pipeline against brute force, and odd input."""
 
+import math
 import random
 import re
 import zlib
@@ -256,6 +257,34 @@ def test_bitmaps_never_part_linked_sets():
         assert not linked or keep.all()
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_fingerprints_of_long_sets(percent):
+    rng = np.random.default_rng(8)
+    bands = jaccard.Bands(percent)
+    for n in (4_000, 6_000, 20_000, 100_000, 500_000):
+        base = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+        prints = jaccard.fingerprints(base, bands)
+        assert len(prints) < max(n, 400_000)
+        for same in (1.0, percent / 100 + 0.001):
+            # Sets that are replaced in part, or shorter, at the threshold.
+            keep = base[: int(len(base) * (2 * same / (1 + same)))]
+            fresh = rng.integers(0, 2**63, len(base) - len(keep)).astype(np.uint64) * np.uint64(2)
+            for other in (np.unique(np.r_[rng.permutation(base)[: len(keep)], fresh]), np.sort(rng.permutation(base)[: math.ceil(len(base) * same)])):
+                assert 100 * len(np.intersect1d(base, other)) >= percent * len(np.union1d(base, other))
+                assert len(np.intersect1d(prints, jaccard.fingerprints(other, bands)))
+    # Sets whose hashes leave more segments empty than are spare.
+    low = [np.unique(rng.integers(0, 2**61, 20_000).astype(np.uint64)) for _ in range(2)]
+    assert len(np.intersect1d(*[jaccard.fingerprints(x, bands) for x in low]))
+
+
+def test_group_takes_long_texts(spark):
+    words = [f"w{i}" for i in range(100_000)]
+    changed = [f"x{i}" if i % 100 == 0 else w for i, w in enumerate(words)]
+    df = docs(spark, [(1, " ".join(words), None, None), (2, " ".join(changed), None, None), (3, " ".join(words[:50_000]), None, None)])
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.group(df, width=5, percent=80).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+
+
 # --- top-k -----------------------------------------------------------------------------------------
 
 
