@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, small_batches
+from .common import read_table
 
 PATH_DIM, WORD_DIM, MEASURES = 96, 64, 8
 DIM = PATH_DIM + WORD_DIM + MEASURES
@@ -256,7 +256,6 @@ def main_text(pages: list[str | None], weights: dict[str, np.ndarray], *, thresh
 
 def extract(pages: DataFrame, *, threshold: float = 0.5, weights: Path = WEIGHTS) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages`` (``page_id, url, html``)."""
-    small_batches(pages.sparkSession, 256)
     known = load_weights(weights)
 
     def run(batches):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, small_batches
+from .common import read_table
 from .packing import default_vocabulary, encoder
 
 #: Control strings that must not appear unescaped inside a text.
@@ -102,7 +102,6 @@ def format_windows(rows: DataFrame, *, budget: int = BUDGET, history: int = HIST
     ``repeated`` turns after the leading ones that a first window would not have are history:
     the system turn of later windows and the turns taken up again.
     """
-    small_batches(rows.sparkSession, 256)
     vocabulary = vocabulary or default_vocabulary()
     clean = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     turn = F.struct(F.col("turn").cast("bigint").alias("turn"), clean("role").alias("role"), clean("text").alias("text"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,16 +14,23 @@ from pyspark.sql import functions as F
 SPACE_CLASS = "[ \\t\\n\\x0B\\f\\r]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
+#: Folders written by the operator that runs now (see ``settled``), and folders of local sessions.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+_local: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where the session names none, as in tests, a temporary one is made and set.
+    Only a local session may leave it unset, as in tests: it gets a temporary folder.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="foliant-shared-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        context = spark.sparkContext
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        where = _local.setdefault(context.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="foliant-shared-")
+        _local[context.applicationId] = where
     return where.rstrip("/")
 
 
@@ -35,9 +44,42 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_dir(spark, label)
     df.write.parquet(path)
+    paths = _written.get()
+    if paths is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def settled(label: str):
+    """For functions of a DataFrame whose result is small: it is written, and every folder
+    that ``cut`` wrote on the way is removed, so that disk is held by one step at a time."""
+
+    def wrap(f):
+        @functools.wraps(f)
+        def run(df: DataFrame, *args, **options) -> DataFrame:
+            paths: list[str] = []
+            outer = _written.set(paths)
+            try:
+                result = cut(f(df, *args, **options), label)
+                last = paths.pop()
+            finally:
+                _written.reset(outer)
+                for path in paths:
+                    remove(df.sparkSession, path)
+            if _written.get() is not None:
+                _written.get().append(last)
+            return result
+
+        return run
+
+    return wrap
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -103,8 +145,3 @@ def digest_spans(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
     )
-
-
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound what an Arrow worker holds at a time: few rows a batch, as texts can be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -3,15 +3,14 @@
 Two documents link when the Jaccard similarity of their shingle sets reaches a
 threshold.  The join runs in four steps and misses no link:
 
-1. *Blocks.*  Linked sets of similar size differ in few shingles, d at most.  Each set is
-   dealt by hash into d + 1 + ``SPARE`` segments, so linked sets agree on more than
-   ``SPARE`` whole segments; the fingerprints of all filled segments, and of every
-   (SPARE + 1)-subset of empty ones, are compared.  Sets of ``LONG`` shingles and more get more
-   spare segments than stay empty, so their filled segments are enough.  All sets that share one form a block
-   around the smallest id in it, its pivot.  Fingerprints travel as packed arrays.
-   Before whole sets travel, parity bitmaps of them do: two bitmaps differ in at most as many
-   places as the sets, so members of a block that differ from all others in too many places
-   link with none of them and leave it.
+1. *Blocks.*  All shingles are put in one order, rare ones first: a pass over the whole corpus
+   counts them in hashed slots, a few megabytes however large the corpus is.  Any order gives the same
+   links; this one keeps blocks small.  A set of n shingles can lack n - ceil(t n) of a linked set's, so
+   the first n - ceil(t n) + 1 shingles of linked sets meet in at least one.  These are the fingerprints
+   of a set.  All sets that share one form a block around the smallest id in it, its pivot.
+   Fingerprints travel as packed arrays.  Before whole sets travel, parity bitmaps of them do: two
+   bitmaps differ in at most as many places as the sets, so members of a block that differ from
+   all others in too many places link with none of them and leave it.
 2. *T-occurrence search.*  Inside a block (in chunks of bounded size) an inverted index
    over the whole sets is searched by DivideSkip: the shorter lists of a query are merged
    with a heap, the longer ones are probed by binary search for the candidates found, and
@@ -28,7 +27,8 @@ alone, and its members are attached afterwards in a salted join, so no large gro
 copies is gathered in one task.
 
 Defined results for odd input: a null or blank text has an empty set and links with
-nothing; rows with a null id are returned with a null group and link with nothing; rows
+nothing; of a very long text a fixed share of its shingles are fingerprints, and its set must fit in a
+task; ties in the order go by hash; rows with a null id are returned with a null group and link with nothing; rows
 with the same id count as one document; an empty table gives an empty result; further
 columns are ignored.
 """
@@ -38,7 +38,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,16 +45,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, read_table, small_batches
+from .common import cut, read_table, settled
 
-SPARE = 2
-#: From bands of such sets on, more segments are spare than stay empty.
-LONG = 5000
+#: Counters of the order of shingles, and the slices that they are summed in.
+SLOTS, SLICES = 1 << 22, 64
+#: Fingerprints of one bucket of the meeting step, about.
+BUCKET = 2_000_000
 #: A fingerprint held by this many sets of one flush is sent as one entry.
 HOT = 64
 #: Entries gathered before they are packed and sent.
 FLUSH = 400_000
 CHUNK = 256
+#: Whole sets sent at once, about.
+SENT_BYTES = 1 << 23
 #: Blocks of fewer members are thinned out by bitmaps.
 THIN = 4096
 #: Ids of at most this many candidates are broadcast to fetch their texts (8 bytes each);
@@ -90,74 +92,68 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
 # --- blocks -----------------------------------------------------------------------------
 
 
-class Bands:
-    """Size bands such that linked sets lie in one band or in neighbouring ones."""
-
-    def __init__(self, percent: int):
-        self.percent, self.edges = percent, [1]
-        self.spares: dict[int, int] = {}
-
-    def of(self, n: int) -> int:
-        import bisect
-
-        while self.edges[-1] <= n:
-            self.edges.append(100 * self.edges[-1] // self.percent + 1)
-        return bisect.bisect_right(self.edges, n) - 1
-
-    def differences(self, band: int) -> int:
-        """Most shingles in which linked sets of ``band``, or of it and the next, differ."""
-        while len(self.edges) < band + 3:
-            self.edges.append(100 * self.edges[-1] // self.percent + 1)
-        total = self.edges[band + 1] - 1 + self.edges[band + 2] - 1
-        return total * (100 - self.percent) // (100 + self.percent)
-
-    def spare(self, band: int) -> int:
-        """Segments beyond d + 1.  In long bands as many as the empty ones of the smallest set and ten
-        standard deviations, so that linked sets agree on a filled segment."""
-        d, n = self.differences(band), self.edges[band]
-        if n < LONG:
-            return SPARE
-        if band not in self.spares:
-            s = SPARE
-            while True:
-                empty = (d + 1 + s) * math.exp(-n / (d + 1 + s))
-                need = math.ceil(empty + 10 * math.sqrt(empty))
-                if need <= s:
-                    break
-                s = need
-            self.spares[band] = s
-        return self.spares[band]
-
-
-def fingerprints(shingles: np.ndarray, bands: Bands) -> np.ndarray:
-    """Fingerprints of which linked, unequal sets share at least one."""
-    if not len(shingles):
+def _count(width: int):
+    """Map side of the order: how often each slot of hashes occurs in this partition's sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, seen, held, waiting = np.zeros(SLOTS, np.int64), set(), [], 0
+
+        def add() -> None:
+            nonlocal counts
+            if held:
+                counts += np.bincount((np.concatenate(held) & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+
+        for batch in batches:
+            for text in batch.column(0):
+                s = shingle_set(text.as_py(), width)
+                digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+                if digest not in seen:
+                    seen.add(digest)
+                    held.append(s)
+                    waiting += len(s)
+                if waiting >= SLOTS:
+                    add()
+                    held, waiting = [], 0
+        add()
+        kind = np.uint8 if counts.max() < 256 else np.int64
+        parts = [x.astype(kind).tobytes() for x in counts.reshape(SLICES, -1)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "counts"])
+
+    return run
+
+
+def _sum_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per slice the total, and the counts on a log scale of eight steps an octave, a byte each."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for at, part in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+            kind = np.uint8 if len(part) == SLOTS // SLICES else np.int64
+            sums[at] = sums.get(at, 0) + np.frombuffer(part, kind).astype(np.int64)
+    levels = [np.minimum(255, np.floor(8 * np.log2(1.0 + x))).astype(np.uint8).tobytes() for x in sums.values()]
+    totals = [int(x.sum()) for x in sums.values()]
+    columns = [pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary()), pa.array(totals, pa.int64())]
+    yield pa.RecordBatch.from_arrays(columns, ["slice", "levels", "total"])
+
+
+def shingle_order(slim: DataFrame, width: int) -> tuple[np.ndarray, int]:
+    """How common each slot of shingle hashes is in the whole corpus (``SLOTS`` bytes, whatever
+    the corpus), and the number of shingles in all its sets."""
+    counts = slim.select("text").mapInArrow(_count(width), "slice int, counts binary")
+    rows = counts.repartition(SLICES, "slice").mapInArrow(_sum_slices, "slice int, levels binary, total bigint").collect()
+    levels = np.zeros((SLICES, SLOTS // SLICES), np.uint8)
+    for r in rows:
+        levels[r["slice"]] = np.frombuffer(r["levels"], np.uint8)
+    return levels.ravel(), sum(r["total"] for r in rows)
+
+
+def prefix(shingles: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest shingles of a set, one more than linked sets can lack: linked sets share one."""
+    n = len(shingles)
+    most = n - -(-percent * n // 100) + 1
+    if not n or most >= n:
         return shingles
-    own, out = bands.of(len(shingles)), []
-    mixed = mix64(shingles)
-    for band in (own - 1, own):
-        d = bands.differences(band) if band >= 0 else 0
-        if not d:
-            continue
-        spare = bands.spare(band)
-        k = d + 1 + spare
-        segment = ((shingles >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
-        starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
-        tag = np.array([band * 2_000_003 + 1], np.uint64) * _ODD[0]
-        out.append(mix64(np.add.reduceat(mixed, starts) + mix64(segment[starts] * _ODD[1] + tag)))
-        if len(starts) > d:
-            continue
-        if spare > SPARE:
-            # More empty segments than spare ones, by chance: all such sets of the band meet.
-            out.append(mix64(tag * _ODD[4]))
-        else:
-            empty = np.setdiff1d(np.arange(k, dtype=np.uint64), segment[starts])
-            subsets = np.array(list(itertools.combinations(empty, SPARE + 1)), np.uint64)
-            key = subsets[:, 0]
-            for j in range(1, subsets.shape[1]):
-                key = mix64(key * _ODD[2] + subsets[:, j])
-            out.append(mix64(key + tag * _ODD[3]))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    rank = (levels[shingles & np.uint64(SLOTS - 1)].astype(np.uint64) << np.uint64(56)) | (shingles >> np.uint64(8))
+    return shingles[np.argpartition(rank, most - 1)[:most]]
 
 
 def parity(shingles: np.ndarray) -> bytes:
@@ -193,7 +189,7 @@ def may_link(sizes: np.ndarray, maps: list[np.ndarray], percent: int) -> np.ndar
 SENT = "bucket int, kind int, prints binary, ids binary"
 
 
-def _send(buckets: int, percent: int, width: int):
+def _send(buckets: int, percent: int, width: int, levels):
     """Map side.  Rows of kind 0: fingerprints with ids; 1: fingerprints to publish; 2: members
     of those, sent aside; 3: first row of a set in this task; 4: rows (id, size, first)."""
 
@@ -237,7 +233,7 @@ def _send(buckets: int, percent: int, width: int):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["bucket", "kind", "prints", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, first = Bands(percent), {}
+        first: dict[bytes, int] = {}
         prints, owners, rows, firsts, held = [], [], [], [], 0
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -252,7 +248,7 @@ def _send(buckets: int, percent: int, width: int):
                 if digest not in first:
                     first[digest] = doc
                     firsts.append((digest, doc, len(s), parity(s)))
-                    p = fingerprints(s, bands)
+                    p = mix64(prefix(s, levels.value, percent))
                     prints.append(p)
                     owners.append((doc, len(p)))
                     held += len(p)
@@ -470,20 +466,24 @@ def components(links: DataFrame, *, limit: int = 60) -> DataFrame:
         if after == before:
             break
         before = after
+    else:
+        raise RuntimeError(f"components did not settle in {limit} rounds")
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
 
 
 # --- the join ---------------------------------------------------------------------------
 
 
+@settled("groups")
 def group(docs: DataFrame, *, width: int = 4, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs`` (``doc_id, text``)."""
     spark = docs.sparkSession
-    small_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(64, 4 * parts)
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    met = cut(slim.mapInArrow(_send(buckets, percent, width), SENT).groupBy("bucket").applyInArrow(_meet, MET), "met")
+    levels, total = shingle_order(slim, width)
+    buckets = max(64, 4 * parts, total * (100 - percent) // (100 * BUCKET))
+    order = spark.sparkContext.broadcast(levels)
+    met = cut(slim.mapInArrow(_send(buckets, percent, width, order), SENT).groupBy("bucket").applyInArrow(_meet, MET), "met")
     of = lambda what: met.filter(F.col("what") == what)
 
     # An id with several sets stands for itself, so that all of its sets are searched.
@@ -571,20 +571,28 @@ def search(slim: DataFrame, pairs: DataFrame, *, width: int, percent: int) -> Da
 
     def spread(batches):
         types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+
+        def done(out: list) -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [[]] * 5
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["pivot", "chunk", "member", "asks", "shingles"])
+
         for batch in batches:
-            out = []
+            out, held = [], 0
             for doc, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 blob = shingle_set(text.as_py(), width).tobytes()
-                out += [(p["pivot"], p["chunk"], doc, p["asks"], blob) for p in places]
-            columns = list(zip(*out, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["pivot", "chunk", "member", "asks", "shingles"])
+                for p in places:
+                    out.append((p["pivot"], p["chunk"], doc, p["asks"], blob))
+                    held += len(blob)
+                    if held > SENT_BYTES:
+                        yield done(out)
+                        out, held = [], 0
+            yield done(out)
 
     def searched(rows: DataFrame, report: bool) -> DataFrame:
         # One row a document with all the places its set goes to.
         places = cut(rows.groupBy("member").agg(F.collect_list(F.struct("pivot", "chunk", "asks")).alias("places")), "places")
         if rows.count() <= BROADCAST_IDS:
             places = F.broadcast(places)
-        small_batches(spark, 128)
         sent = slim.join(places, slim["doc_id"] == places["member"]).select("doc_id", "text", "places").mapInArrow(spread, BLOCK)
         dealt = sent.repartition(parts, "pivot", "chunk").sortWithinPartitions("pivot", "chunk")
         return dealt.mapInArrow(_search_blocks(percent, report), FOUND)

@@ -258,23 +258,29 @@ def test_bitmaps_never_part_linked_sets():
 
 
 @pytest.mark.parametrize("percent", [80, 85])
-def test_fingerprints_of_long_sets(percent):
+def test_prefixes_of_linked_sets_meet(percent):
     rng = np.random.default_rng(8)
-    bands = jaccard.Bands(percent)
-    for n in (4_000, 6_000, 20_000, 100_000, 500_000):
+    levels = rng.integers(0, 9, jaccard.SLOTS).astype(np.uint8)
+    for n in (1, 2, 3, 5, 9, 40, 300, 20_000, 500_000):
         base = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
-        prints = jaccard.fingerprints(base, bands)
-        assert len(prints) < max(n, 400_000)
+        prints = jaccard.prefix(base, levels, percent)
+        assert len(prints) <= len(base) * (100 - percent) / 100 + 1
         for same in (1.0, percent / 100 + 0.001):
             # Sets that are replaced in part, or shorter, at the threshold.
-            keep = base[: int(len(base) * (2 * same / (1 + same)))]
+            keep = base[: math.ceil(len(base) * (2 * same / (1 + same)))]
             fresh = rng.integers(0, 2**63, len(base) - len(keep)).astype(np.uint64) * np.uint64(2)
             for other in (np.unique(np.r_[rng.permutation(base)[: len(keep)], fresh]), np.sort(rng.permutation(base)[: math.ceil(len(base) * same)])):
                 assert 100 * len(np.intersect1d(base, other)) >= percent * len(np.union1d(base, other))
-                assert len(np.intersect1d(prints, jaccard.fingerprints(other, bands)))
-    # Sets whose hashes leave more segments empty than are spare.
-    low = [np.unique(rng.integers(0, 2**61, 20_000).astype(np.uint64)) for _ in range(2)]
-    assert len(np.intersect1d(*[jaccard.fingerprints(x, bands) for x in low]))
+                assert len(np.intersect1d(prints, jaccard.prefix(other, levels, percent)))
+
+
+def test_order_counts_the_whole_corpus(spark):
+    texts = ["common words in all of them and"] * 3 + [f"common words in all of them and w{i}" for i in range(50)] + [None, ""]
+    df = docs(spark, [(i, t, None, None) for i, t in enumerate(texts)]).repartition(3)
+    levels, total = jaccard.shingle_order(df, 4)
+    shared = jaccard.shingle_set(texts[0], 4)
+    assert (levels[shared & np.uint64(jaccard.SLOTS - 1)] >= np.floor(8 * np.log2(51))).all() and total >= 50 * 5
+    assert jaccard.shingle_order(df.limit(0), 4)[1] == 0
 
 
 def test_group_takes_long_texts(spark):
