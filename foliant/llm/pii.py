@@ -49,6 +49,8 @@ INSTANCE = (
 #: Of the text beside an instance only so much is looked at; texts are held in blocks of BLOCK for that.
 BESIDE, BLOCK = 200, 1024
 PLACE = "struct<start:bigint,end:bigint,instance:string,run:bigint,whole:boolean,seed:boolean>"
+#: Discovered spans up to this many (under 100 bytes each) are broadcast to their texts; more are joined by a shuffle.
+BROADCAST_SPANS = 200_000
 ROUNDS, ACCEPT, SUPPORT = 3, 0.9, 5
 
 
@@ -182,19 +184,28 @@ def _patterns(o: Column) -> Column:
     )
 
 
+def _marked(text: Column) -> Column:
+    """Base spans, and instances with their contexts.  Each step is computed once a row."""
+    words = lambda z: let(F.concat(z["seeds"], _candidates(z["masked"])), lambda p: _instances(text, p))
+    return let(base_spans(text), lambda b: F.struct(b.alias("base"), let(_seeds(text, b), words).alias("words")))
+
+
+def _all_spans(base: Column, extra: Column) -> Column:
+    return F.concat(base, F.coalesce(extra, F.array().cast(f"array<{SPAN}>")))
+
+
 def find(
-    docs: DataFrame, *, text_col: str = "text", rounds: int = ROUNDS, accept: float = ACCEPT, support: int = SUPPORT
+    docs: DataFrame, *, text_col: str = "text", keep: list[str] | None = None, rounds: int = ROUNDS, accept: float = ACCEPT, support: int = SUPPORT
 ) -> DataFrame:
-    """All rows of ``docs`` with ``spans``: base matches first by kind, discovered ones last."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    # Each step is computed once a row.
-    words = lambda z: let(F.concat(z["seeds"], _candidates(z["masked"])), lambda p: _instances(text, p))
-    both = let(base_spans(text), lambda b: F.struct(b.alias("base"), let(_seeds(text, b), words).alias("words")))
-    marked = cut(docs.withColumns({"_row": F.monotonically_increasing_id(), "_both": both}), "pii")
-    rows = marked.withColumns({"_base": F.col("_both.base"), "_words": F.col("_both.words")}).drop("_both")
-    found = discover(rows.select("_row", "_words"), rounds=rounds, accept=accept, support=support)
-    spans = F.concat(F.col("_base"), F.coalesce(F.col("_extra"), F.array().cast(f"array<{SPAN}>")))
-    return rows.join(found, "_row", "left").withColumn("spans", spans).drop("_row", "_base", "_words", "_extra")
+    """All rows of ``docs`` with ``spans``: base matches first by kind, discovered ones last.
+
+    Of the columns of ``docs`` only ``keep`` travel on (all if None)."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    kept, safe, names = aliased(docs.select(*[F.col(f"`{c}`") for c in keep]) if keep is not None else docs)
+    rows = cut(docs.select(*kept, F.monotonically_increasing_id().alias("_row"), _marked(text).alias("_both")), "pii")
+    found = discover(rows.select("_row", F.col("_both.words").alias("_words")), rounds=rounds, accept=accept, support=support)
+    out = [F.col(s).alias(n) for s, n in zip(safe, names, strict=True) if n != "spans"]
+    return rows.join(found, "_row", "left").select(*out, _all_spans(F.col("_both.base"), F.col("_extra")).alias("spans"))
 
 
 def discover(rows: DataFrame, *, rounds: int, accept: float, support: int) -> DataFrame:
@@ -269,7 +280,16 @@ def redact(docs: DataFrame, **options) -> DataFrame:
     by_start = F.sort_array(
         F.transform(F.col("spans"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
-    found = find(docs.select(*kept), text_col=at, **options)
+    # Spans depend on the text alone, so discovered ones come back by its hashes and no text is written.
+    whole = F.coalesce(text, F.lit(""))
+    key = F.struct(F.xxhash64(whole).alias("a"), F.xxhash64(F.lit(7), whole).alias("b")).alias("_row")
+    rows = docs.select(*kept)
+    marked = rows.select(key, _marked(whole)["words"].alias("_words")).filter(F.size("_words") > 0)
+    extra = cut(discover(cut(marked, "pii"), **(dict(rounds=ROUNDS, accept=ACCEPT, support=SUPPORT) | options)), "pii-extra")
+    if (extra.agg(F.sum(F.size("_extra"))).first()[0] or 0) <= BROADCAST_SPANS:
+        extra = F.broadcast(extra)
+    found = rows.select(*safe, key, base_spans(whole).alias("_base")).join(extra, "_row", "left")
+    found = found.select(*safe, _all_spans(F.col("_base"), F.col("_extra")).alias("spans"))
     changed = F.size("spans") > 0
     fresh = found.withColumn("_text", F.when(changed, let(by_start, replaced)))
 
@@ -285,7 +305,7 @@ def redact(docs: DataFrame, **options) -> DataFrame:
 
 def op5_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: base counts and digest, and all spans."""
-    found = find(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = find(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
     base = F.filter("spans", lambda s: s["rank"] < 4)
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
     return found.select(
