@@ -29,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an id or without words link with nothing and stay; of rows with one id one stays."""
-    groups = cut(jaccard.group(docs, width=5, percent=80), "groups")
+    groups = jaccard.group(docs, width=5, percent=80)
     gone = cut(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "copies")
     if gone.count() <= jaccard.BROADCAST_IDS:
         gone = F.broadcast(gone)
