@@ -294,29 +294,59 @@ def test_group_takes_long_texts(spark):
 # --- top-k -----------------------------------------------------------------------------------------
 
 
-def test_top_k(spark):
+def nearest(queries, rows, k):
+    """Best rows by whole numbers; a row is no candidate of itself."""
+    out = []
+    for a, q in queries:
+        found = sorted((-sum(x * y for x, y in zip(q, v, strict=True)), float("inf") if i is None else i) for b, (i, v) in enumerate(rows) if b != a)
+        out.append([(-s, None if i == float("inf") else i) for s, i in found[:k]])
+    return out
+
+
+@pytest.mark.parametrize("block", [8192, 60])
+def test_top_k(spark, monkeypatch, block):
+    monkeypatch.setattr(covertree, "BLOCK_ROWS", block)
     rng = np.random.default_rng(6)
     rows = [(i, rng.normal(size=5).tolist(), 0) for i in range(300)] + [(i, [0.1, 0.2, 0.3, 0.4, 0.5], 0) for i in range(300, 340)]
+    rows += [(i, (rng.normal(size=5) + 40 * (i % 3)).tolist(), 0) for i in range(500, 640)]
     rows += [(400, None, 0), (401, [1.0, None, 0.0, 0.0, 0.0], 0), (402, [float("nan")] * 5, 0), (20, [0.5] * 5, 0), (None, [9.0] * 5, 0), (403, [1.0, 1.0], 0)]
-    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, score int")
-    valid = [(i, np.floor(64 * np.array(list(np.float32(v)) + [0.0] * (5 - len(v)), np.float64))) for i, v, _ in rows if v and not any(x is None or x != x for x in v)]
-    want = Counter()
-    for a, (i, q) in enumerate(valid):
-        if i is not None and i % 20 == 0:
-            best = sorted(((-int(q @ v), 10**9 if j is None else j) for b, (j, v) in enumerate(valid) if b != a))[:20]
-            want.update((i, k + 1, None if j == 10**9 else j, -s) for k, (s, j) in enumerate(best))
-    assert Counter(tuple(r) for r in covertree.top_k(df).collect()) == want
+    for large in ([], [(700, [1e9, -1e9, 5.0, 0.0, 1.0], 0), (720, [1e300, 0.0, -1e290, 0.0, 0.0], 0), (721, [1e9] * 5, 0), (722, [1e308] * 5, 0)]):
+        df = spark.createDataFrame(rows + large, "vec_id bigint, embedding array<double>, score int")
+        valid = [(i, [math.floor(64 * x) for x in v] + [0] * (5 - len(v))) for i, v, _ in rows + large if v and all(x is not None and math.isfinite(64 * x) for x in v)]
+        queries = [(b, v) for b, (i, v) in enumerate(valid) if i is not None and i % 20 == 0]
+        want = Counter()
+        for (b, _), found in zip(queries, nearest(queries, valid, 20), strict=True):
+            want.update((valid[b][0], k + 1, j, s if -(2**63) <= s < 2**63 else None) for k, (s, j) in enumerate(found))
+        report = {}
+        assert Counter(tuple(r) for r in covertree.top_k(df.repartition(3), report=report).collect()) == want
+        assert report["searched"] <= report["pairs"]
+        if block == 60 and not large:
+            assert report["searched"] < report["pairs"]
     assert covertree.top_k(df.limit(0)).count() == 0
+    assert covertree.top_k(df.filter("vec_id = 400")).count() == 0
 
 
-def test_dual_search_equals_all_products():
+@pytest.mark.parametrize("leaf", [256, 8])
+def test_trees_and_dual_search(leaf):
     rng = np.random.default_rng(7)
-    for n in (0, 1, 2, 5, 30, 900):
-        x, ids = np.floor(rng.normal(size=(n, 3)) * 3), rng.permutation(n)
-        q = x[:9]
-        b, s = covertree.dual_search(q, x, np.arange(len(q)), np.arange(n), ids, 20)
-        e, f = covertree.exhaustive(q, x, np.arange(len(q)), np.arange(n), ids, 20)
-        assert (b == e).all() and (np.where(e >= 0, s, 0) == f).all()
+    tables = [np.floor(rng.normal(size=(n, 3)) * 3) for n in (0, 1, 2, 5, 30, 900)]
+    tables += [np.floor(rng.normal(size=(200, 3)) * 1e9), np.floor(rng.normal(size=(60, 3)) * 10.0 ** rng.integers(0, 300, (60, 1)))]
+    tables += [np.floor(rng.normal(size=(5, 4)) * 9).repeat(80, 0), np.floor(rng.normal(size=(400, 6)) * 2 + rng.integers(0, 9, (400, 1)) * 60)]
+    for x in tables:
+        ids = rng.permutation(len(x))
+        (oq, tq), (ox, tx) = covertree.cover_tree(x[:9], leaf=leaf), covertree.cover_tree(x, leaf=leaf)
+        for i in range(len(tx.start)):
+            away = covertree.lengths(tx.x[tx.start[i] : tx.end[i]] - tx.x[tx.start[i]])
+            assert not np.isfinite(tx.radius[i]) or away.max() <= tx.radius[i]
+            assert all(tx.radius[c] <= tx.radius[i] / 2 for c in tx.children(i))
+        best, score = covertree.dual_search(tq, tx, oq, ox, ids[ox], 20)
+        rows = [(int(i), [int(v) for v in r]) for i, r in zip(ids, x, strict=True)]
+        want = nearest([(int(o), rows[o][1]) for o in oq], rows, 20)
+        assert [[(int(s), ids[ox][b]) for b, s in zip(r, t, strict=True) if b >= 0] for r, t in zip(best, score, strict=True)] == want
+        if len(x) > 30 and score.dtype != object:
+            beat = np.array([w[-1][0] for w in want])
+            again = covertree.dual_search(tq, tx, oq, ox, ids[ox], 20, beat)
+            assert (again[0] == best).all() and (again[1] == score).all()
 
 
 # --- pages -------------------------------------------------------------------------------------------
