@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
-from .packing import default_vocabulary, encoder
+from .packing import default_vocabulary, encoder, token_ids
 
 #: Control strings that must not appear unescaped inside a text.
 CONTROL = ("<|", "|>", "[INST]", "[/INST]", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "<start_of_turn>", "<end_of_turn>")
@@ -109,7 +109,7 @@ def format_windows(rows: DataFrame, *, budget: int = BUDGET, history: int = HIST
 
     def run(batches):
         enc = encoder(vocabulary)
-        count = lambda text: len(enc.encode_ordinary(text))
+        count = lambda text: len(token_ids(enc, text))
         for batch in batches:
             out = [[], [], [], [], []]
             for conv, turns in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
