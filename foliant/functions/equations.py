@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -81,3 +81,27 @@ def is_balanced(latex: Column) -> Column:
         return F.when(open_ones == "!", open_ones).when(c.isin(*opens), F.concat(open_ones, c)).otherwise(closed)
 
     return F.aggregate(F.filter(F.split(kept, ""), lambda c: c != ""), F.lit(""), step) == ""
+
+
+def computes_limit(nodes: DataFrame) -> DataFrame:
+    """``computes_limit`` for equations (``edition, pre, parent, type, normative, text, defines``): whether the letters
+    of the symbol that one defines, with or without a space or underscore between them and not inside
+    a word, occur in the normative texts beside it.
+
+    A parent's children may be many: pairs are made of equations and normative siblings that hold the
+    symbol's first letter only, and the texts are never put together.
+    """
+    letters = surface(F.col("defines"))
+    symbol = F.filter(F.split(letters, ""), lambda c: c != "")
+    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}_])"), F.array_join(F.transform(symbol, lambda c: F.concat(F.lit(r"\Q"), c, F.lit(r"\E"))), r"[\s_]?"), F.lit(r"(?![\p{L}\p{N}_])"))
+    made = nodes.filter("type = 'equation'").select("edition", "parent", F.col("pre").alias("_pre"), letters.alias("_letters"), pattern.alias("_pattern"))
+    made = made.filter(F.length("_letters") > 0)
+    # Equations of one parent that define the same symbol are looked up once.
+    wanted = made.groupBy("edition", "parent", "_letters").agg(F.first("_pattern").alias("_pattern"))
+    said = nodes.filter("normative and type <> 'equation'").select(F.col("edition").alias("_e"), F.col("parent").alias("_p"), "text")
+    beside = (wanted["edition"] == said["_e"]) & wanted["parent"].eqNullSafe(said["_p"]) & F.contains("text", F.left("_letters", F.lit(1)))
+    found = wanted.join(said, beside).filter(F.regexp_like("text", F.col("_pattern"))).select("edition", "parent", "_letters").distinct()
+    hit = made.join(found.withColumnsRenamed({"edition": "_e", "parent": "_p", "_letters": "_l"}), (F.col("edition") == F.col("_e")) & F.col("parent").eqNullSafe(F.col("_p")) & (F.col("_letters") == F.col("_l")), "left_semi")
+    flags = hit.select(F.col("edition").alias("_e"), "_pre")
+    out = nodes.join(flags, (F.col("edition") == F.col("_e")) & (F.col("pre") == F.col("_pre")), "left")
+    return out.withColumn("computes_limit", F.when(F.col("type") == "equation", F.col("_pre").isNotNull())).drop("_e", "_pre")

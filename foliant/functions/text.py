@@ -6,6 +6,7 @@ Arrow batches, everything else stays in the JVM.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -237,8 +238,9 @@ def references(text: Column) -> Column:
     Lead words must stand alone and numbers must end: "temper 5" and "per 61000-4" are no references.
     """
     number = r"\d{1,3}(?:\.\d{1,3})*(?![\d-])"
+    leads = "|".join(re.escape(lead).replace(r"\ ", r"\s+") for lead in lx.REFERENCE_LEADS)
     kinds = (
-        ("clause", rf"(?iU)\b(?:{lx.REFERENCE_LEADS})\s*\[?\s*({number})\s*\]?", lambda x: x),
+        ("clause", rf"(?iU)\b(?:{leads})\s*\[?\s*({number})\s*\]?", lambda x: x),
         ("annex", r"(?iU)\b(?:annex|anhang|annexe)\s+([A-Z]{1,3}(?:\.\d{1,3})*)\b", lambda x: F.concat(F.lit("Annex "), F.upper(x))),
         ("table", rf"(?iU)\b(?:table|tabelle)\s+({number})", lambda x: F.concat(F.lit("Table "), x)),
         ("figure", rf"(?iU)\b(?:figure|fig\.?|bild|abbildung)\s+({number})", lambda x: F.concat(F.lit("Figure "), x)),

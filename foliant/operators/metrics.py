@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import bisect
+import itertools
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,12 +38,44 @@ def coverage(pages: DataFrame) -> DataFrame:
 
 
 def kendall(rows: DataFrame, *keys: str) -> DataFrame:
-    """Kendall tau of a page's order (``pos``) against the order by descending y; 1 for fewer than two rows."""
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("y"), "pos")))
-    a = ranked.select(*keys, F.col("pos").alias("p1"), F.col("rank").alias("r1"))
-    b = ranked.select(*keys, F.col("pos").alias("p2"), F.col("rank").alias("r2"))
-    pairs = a.join(b, list(keys)).filter("p1 < p2").groupBy(*keys).agg(F.sum(F.signum(F.col("r2") - F.col("r1"))).alias("s"), F.count(F.lit(1)).alias("n"))
-    return rows.select(*keys).distinct().join(pairs, list(keys), "left").select(*keys, F.coalesce(F.col("s") / F.col("n"), F.lit(1.0)).alias("tau"))
+    """Kendall tau of a page's order (``pos``) against the order by descending y; 1 for fewer than two rows.
+
+    Inversions are counted page by page while its rows are put in order, so no pairs are made.
+    """
+    ranked = rows.withColumn("rank__", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("y"), "pos"))).select(*keys, "pos", "rank__")
+    schema = ranked.select(*keys).schema
+
+    def tau(page: pa.Table) -> pa.Table:
+        order = sorted(zip(page.column("pos").to_pylist(), page.column("rank__").to_pylist(), strict=True))
+        seen: list[int] = []
+        score = pairs = 0
+        for _, same in itertools.groupby(order, key=lambda r: r[0]):
+            ranks = [r for _, r in same]
+            for r in ranks:
+                score += 2 * bisect.bisect_left(seen, r) - len(seen)
+                pairs += len(seen)
+            for r in ranks:
+                bisect.insort(seen, r)
+        return pa.table({**{k: page.column(k).slice(0, 1) for k in keys}, "tau": pa.array([score / pairs if pairs else 1.0])})
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    return ranked.groupBy(*keys).applyInArrow(tau, f"{fields}, tau double")
+
+
+def page_confidence(scores: DataFrame) -> DataFrame:
+    """``layout, parse, table, ocr`` scores of pages to four places, NaN as null."""
+    clean = lambda c: F.when(~F.isnan(c), F.round(c, 4)).alias(c)
+    return scores.select("edition", "page", *[clean(c) for c in ("layout", "parse", "table", "ocr")])
+
+
+def source_lines(spans: DataFrame) -> DataFrame:
+    """Lines of a page from its spans (``edition, page, line, ord, text, x0, y0, x1, y1, dx, dy, size``): text, box, largest
+    type, and whether the line runs left to right (by the direction of its first span)."""
+    texts = F.transform(F.sort_array(F.collect_list(F.struct("ord", "text"))), lambda s: s["text"])
+    box = [F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")]
+    first = F.min_by(F.struct("dx", "dy"), "ord")
+    lines = spans.groupBy("edition", "page", "line").agg(F.array_join(texts, " ").alias("text"), *box, F.max("size").alias("size"), first.alias("_d"))
+    return lines.withColumn("horizontal", (F.col("_d.dx") > 0.7) & (F.abs("_d.dy") < 0.3)).drop("_d")
 
 
 def heading_candidate(text: Column) -> Column:
@@ -57,7 +93,7 @@ def worst(pages: DataFrame, k: int = 5) -> DataFrame:
 
 
 def profile(nodes: DataFrame) -> DataFrame:
-    """One row per edition: counts by type, clauses, languages, pages and mean confidence."""
+    """One row per edition: counts by type, clauses, languages, pages and characters."""
     return nodes.groupBy("edition").agg(
         F.count(F.lit(1)).alias("nodes"),
         F.count_if(F.col("type") == "section").alias("sections"),

@@ -11,7 +11,7 @@ def headings(spark: SparkSession) -> DataFrame:
     """Known headings with their role, pooled over languages."""
     from ..functions.text import bare
 
-    rows = [(role, h) for role, names in lx.ROLE_HEADINGS.items() for h in names.split("|")]
+    rows = [(role, h) for role, names in lx.ROLE_HEADINGS.items() for h in names]
     return spark.createDataFrame(rows, "role string, heading string").withColumn("heading", bare(F.col("heading"))).dropDuplicates()
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import lexicon as lx
 from ..functions.text import squeezed
+from ..functions.values import names_limit
 
 TABLE = ("edition", "table_ord")
 
@@ -30,17 +31,30 @@ def signatures(cells: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def cells(items: DataFrame) -> DataFrame:
+    """Cells of table items (``start_row, end_row, start_col, end_col``, header flag, text): a span is at
+    least one, the page is the table's, and no header path is known yet."""
+    return items.withColumns(
+        {
+            "row": F.col("start_row"), "rowspan": F.greatest(F.col("end_row") - F.col("start_row"), F.lit(1)),
+            "col": F.col("start_col"), "colspan": F.greatest(F.col("end_col") - F.col("start_col"), F.lit(1)),
+            "header": F.coalesce("header", F.lit(False)), "header_path": F.array().cast("array<string>"),
+        }
+    ).drop("start_row", "end_row", "start_col", "end_col")
+
+
 def header_paths(cells: DataFrame, *keys: str) -> DataFrame:
-    """Data cells with ``header_path``: header texts above their first column, top down."""
+    """Data cells with ``header_path``: header texts above their first column, top down.
+
+    A table's few header cells travel to its data cells as one array, and each cell looks its own up."""
     c = flag_header_rows(cells, *keys)
-    heads = c.filter("header_row").filter(F.trim("text") != "").select(
-        *keys, F.col("row").alias("h_row"), F.col("col").alias("h_col"), (F.col("col") + F.col("colspan")).alias("h_end"), F.trim("text").alias("h_text")
-    )
-    data = c.filter(~F.col("header_row"))
-    met = data.join(heads, list(keys)).filter((F.col("h_col") <= F.col("col")) & (F.col("col") < F.col("h_end")))
-    firsts = met.groupBy(*keys, "row", "col", "h_row").agg(F.min_by("h_text", "h_col").alias("h_text"))
-    paths = firsts.groupBy(*keys, "row", "col").agg(F.transform(F.sort_array(F.collect_list(F.struct("h_row", "h_text"))), lambda x: x["h_text"]).alias("header_path"))
-    return data.join(paths, [*keys, "row", "col"], "left").withColumn("header_path", F.coalesce("header_path", F.array().cast("array<string>")))
+    head = F.struct(F.col("row").alias("row"), F.col("col").alias("col"), (F.col("col") + F.col("colspan")).alias("end"), F.trim("text").alias("text"))
+    heads = c.filter("header_row").filter(F.trim("text") != "").groupBy(*keys).agg(F.sort_array(F.collect_list(head)).alias("_heads"))
+    data = c.filter(~F.col("header_row")).join(heads, list(keys), "left")
+    above = F.filter(F.coalesce("_heads", F.array().cast("array<struct<row:int,col:int,end:int,text:string>>")), lambda h: (h["col"] <= F.col("col")) & (F.col("col") < h["end"]))
+    # Of several cells of one header row the leftmost counts; they are in order.
+    path = F.get(F.transform(F.array(above), lambda a: F.transform(F.filter(a, lambda h, i: (i == 0) | (F.get(a, i - 1)["row"] != h["row"])), lambda h: h["text"])), F.lit(0))
+    return data.withColumn("header_path", path).drop("_heads")
 
 
 def stitch(tables: DataFrame) -> DataFrame:
@@ -91,7 +105,7 @@ def continuation(tables: DataFrame) -> DataFrame:
 
 def blank_limits(data: DataFrame) -> DataFrame:
     """Blank cells under a header that names a limit."""
-    return data.filter(F.exists("header_path", lambda h: h.rlike(f"(?iu){lx.LIMIT_KEYWORDS}")) & (F.trim(F.coalesce("text", F.lit(""))) == ""))
+    return data.filter(F.exists("header_path", names_limit) & (F.trim(F.coalesce("text", F.lit(""))) == ""))
 
 
 def ruled_grid(slots: DataFrame) -> DataFrame:

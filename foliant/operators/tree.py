@@ -7,6 +7,9 @@ edition as its first key, so one partitioning serves all of them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +44,11 @@ def build(items: DataFrame, levels: int = 6) -> DataFrame:
     return nodes.withColumn("parent", parent).drop(*[f"_h{k}" for k in range(1, levels)])
 
 
+def reconcile(nodes: DataFrame) -> DataFrame:
+    """The seam where a second reading of a page may be set against the first: it changes nothing."""
+    return nodes
+
+
 def claim_captions(nodes: DataFrame, refs: DataFrame) -> DataFrame:
     """Captions that a table or figure names (``refs``: edition, owner, caption) become its children."""
     named = refs.groupBy("edition", F.col("caption").alias("pre")).agg(F.min("owner").alias("owner"))
@@ -73,7 +81,8 @@ def attach_captions(siblings: DataFrame) -> DataFrame:
 
 def merge_numbers(nodes: DataFrame) -> DataFrame:
     """A node that is a clause number alone joins the short unnumbered title after it on its page;
-    the joined text stands at the title, the number's node goes (its children stay)."""
+    the joined text stands at the title, the number's node goes.  Its children (``parent``, ``owner``, where
+    there are such columns) move to the title, and the title to its parent."""
     w = Window.partitionBy("edition").orderBy("pre")
     lone = F.col("text").rlike(lx.LONE_NUMBER)
     words = F.size(F.filter(F.split("text", r"\s+"), lambda x: x != ""))
@@ -83,7 +92,19 @@ def merge_numbers(nodes: DataFrame) -> DataFrame:
     n = n.withColumn("_drop", F.col("_lone") & fits)
     number = F.when(F.lag("_drop").over(w), F.trim(F.lag("text").over(w)))
     joined = F.when(number.isNotNull(), F.concat_ws(" ", number, F.trim("text"))).otherwise(F.col("text"))
-    return n.withColumn("text", joined).filter(~F.col("_drop")).drop("_lone", "_title", "_drop")
+    links = [c for c in ("parent", "owner") if c in nodes.columns]
+    n = n.withColumns({"_text": joined, "_to": F.when(F.col("_drop"), F.lead("pre").over(w))})
+    gone = n.filter("_drop").select("edition", F.col("pre").alias("_from"), "_to", *[F.col(c).alias(f"_up_{c}") for c in links])
+    out = n.filter(~F.col("_drop")).withColumn("text", F.col("_text")).drop("_lone", "_title", "_drop", "_text", "_to")
+    for c in links:
+        # The number's own parent may be a number that goes, too: then that one's title.
+        above = gone.select(F.col("edition").alias("_e"), F.col("_from").alias("_f"), F.col("_to").alias("_t"))
+        moves = gone.select("edition", F.col("_from").alias(c), "_to", F.col(f"_up_{c}").alias("_up"))
+        moves = moves.join(above, (F.col("edition") == F.col("_e")) & (F.col("_up") == F.col("_f")), "left")
+        moves = moves.select("edition", c, "_to", F.coalesce("_t", "_up").alias("_up"))
+        moved = F.when(F.col("_to").isNull(), F.col(c)).when(F.col("_to") == F.col("pre"), F.col("_up")).otherwise(F.col("_to"))
+        out = out.join(moves, ["edition", c], "left").withColumn(c, moved).drop("_to", "_up")
+    return out.select(*nodes.columns)
 
 
 def with_clauses(nodes: DataFrame) -> DataFrame:
@@ -106,21 +127,37 @@ def nest(nodes: DataFrame) -> DataFrame:
     opened = F.col("parts").isNotNull() | F.col("_annex")
     here = Window.partitionBy("edition", "_stretch").orderBy("pre").rowsBetween(Window.unboundedPreceding, -1)
     n = n.withColumn("_last", F.last(F.when(opened, F.col("pre")), ignorenulls=True).over(here))
-    own = n.filter(F.col("parts").isNotNull()).select("edition", "_stretch", F.col("pre").alias("i"), F.col("parts").alias("p"))
-    up = own.select("edition", "_stretch", F.col("i").alias("j"), F.col("p").alias("q"))
-    pairs = own.join(up, ["edition", "_stretch"]).filter((F.col("j") < F.col("i")) & tx.is_prefix(F.col("q"), F.col("p")))
-    between = own.select("edition", "_stretch", F.col("i").alias("k"), F.col("p").alias("r"))
-    broken = (
-        pairs.join(between, ["edition", "_stretch"])
-        .filter((F.col("k") > F.col("j")) & (F.col("k") < F.col("i")) & ~tx.is_prefix(F.col("q"), F.col("r")))
-        .select("edition", "i", "j").distinct()
-    )
-    parent = pairs.join(broken, ["edition", "i", "j"], "left_anti").groupBy("edition", F.col("i").alias("pre")).agg(F.max("j").alias("_up"))
-    n = n.join(parent, ["edition", "pre"], "left")
+    n = _nearest_prefix(n)
     value = F.when(F.col("_reset"), None).when(F.col("parts").isNotNull(), F.col("_up")).otherwise(F.col("_last"))
     return n.withColumn("parent", value.cast("int")).drop("_annex", "_reset", "_stretch", "_last", "_up")
 
 
+def _nearest_prefix(n: DataFrame) -> DataFrame:
+    """``_up``: of the numbered nodes of a stretch that are open when a node comes, the last whose parts
+    are a strict prefix of its own.  One pass over each edition in order, with the open ones on a stack."""
+    names = n.columns
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in n.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, open_ = None, []
+        for batch in batches:
+            ups = []
+            for edition, stretch, pre, parts in zip(*[batch.column(c).to_pylist() for c in ("edition", "_stretch", "pre", "parts")], strict=True):
+                if (edition, stretch) != here:
+                    here, open_ = (edition, stretch), []
+                if parts is None:
+                    ups.append(None)
+                    continue
+                while open_ and not (len(open_[-1][1]) < len(parts) and parts[: len(open_[-1][1])] == open_[-1][1]):
+                    open_.pop()
+                ups.append(open_[-1][0] if open_ else None)
+                open_.append((pre, parts))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ups, pa.int64())], [*names, "_up"])
+
+    dealt = n.repartition("edition").sortWithinPartitions("edition", "_stretch", "pre")
+    return dealt.mapInArrow(run, f"{fields}, _up bigint")
+
+
 def hoist(nodes: DataFrame) -> DataFrame:
     """``hoisted``: numbered nodes whose nearest numbered ancestor (or, under an unnumbered
     container, the last numbered top-level node) is not a strict prefix of their number.

@@ -45,6 +45,19 @@ def short_reason(reason: Column, most: int = 200) -> Column:
     return F.when(more > 0, F.concat(F.substring(reason, 1, most), F.lit(" ["), more.cast("string"), F.lit(" more chars]"))).otherwise(reason)
 
 
+def by_discrepancy(changes: DataFrame, score: str, *ties: str) -> DataFrame:
+    """``rank`` of changes by falling score, ties by ``ties``; null scores last.
+
+    Ranks are counts of what stands before: rows are ordered only among those of one score.
+    """
+    counts = changes.groupBy(score).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(F.desc_nulls_last(score)).rowsBetween(Window.unboundedPreceding, -1)
+    above = counts.select(F.col(score).alias("_score"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_above"))
+    inside = F.row_number().over(Window.partitionBy(score).orderBy(*ties))
+    met = changes.join(above, changes[score].eqNullSafe(above["_score"]))
+    return met.withColumn("rank", F.col("_above") + inside).drop("_score", "_above")
+
+
 def pixels(l: Column, t: Column, r: Column, b: Column, dpi: int = 150) -> Column:  # noqa: E741
     k = dpi / 72
     return F.struct((l * k).alias("l"), (t * k).alias("t"), (r * k).alias("r"), (b * k).alias("b"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,6 +10,8 @@ from pyspark.sql import functions as F
 from .. import lexicon as lx
 from ..fixtures import frame, sql_with
 from ..functions import equations as eq
+from ..functions import language as ln
+from ..functions import prose as ps
 from ..functions import text as tx
 from ..functions import values as vl
 from ..operators import consensus as cs
@@ -48,11 +49,6 @@ def longs(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("bigint") for n in names})
 
 
-def bare_form(heading: str) -> str:
-    """The Python twin of ``tx.bare``."""
-    return "".join(c for c in unicodedata.normalize("NFKD", heading.strip().casefold()) if not unicodedata.combining(c))
-
-
 # --- sources, sinks, versions -------------------------------------------------------------
 
 
@@ -116,10 +112,12 @@ def src13_owners(spark, d):
     return cs.owners(spark).join(pages, "page_class").select("content", "page_class", "engine", "n")
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{r}', {len({bare_form(x) for x in h.split('|')})})" for r, h in lx.ROLE_HEADINGS.items()) + ") t(role, n)")
+@query("SELECT CASE lang WHEN 'en' THEN 'foreword' WHEN 'de' THEN 'toc' END AS role, count(*) AS n FROM documents WHERE lang IN ('en', 'de') GROUP BY 1")
 def src14_role_headings(spark, d):
-    """SRC14, SET4: distinct headings per role."""
-    return longs(rl.headings(spark).groupBy("role").agg(F.count(F.lit(1)).cast("int").alias("n"))).withColumn("n", F.col("n").cast("int"))
+    """SRC14, SET4: roles of headings by the pooled dictionary, whatever their case and marks."""
+    said = F.when(F.col("lang") == "en", " FOREWORD ").when(F.col("lang") == "de", "Inhaltsverzeichnis").when(F.col("lang") == "fr", "Résumé").otherwise("Limits")
+    docs = table(spark, d, "documents").select(tx.bare(said).alias("heading"))
+    return docs.join(rl.headings(spark), "heading").groupBy("role").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT sum(CASE WHEN length(text) > 200 THEN 200 + length(' [' || (length(text) - 200) || ' more chars]') ELSE length(text) END)::BIGINT AS chars FROM documents")
@@ -186,10 +184,10 @@ def tree4_attach_captions(spark, d):
     return got.agg(F.count(F.lit(1)).alias("captions"), F.count_if(F.col("owner") < F.col("pre")).alias("backward"), F.count_if(F.col("owner") > F.col("pre")).alias("forward"))
 
 
-@query("SELECT edition, count(*) AS n FROM fx_items GROUP BY 1", "fx_items")
+@query("SELECT edition, pre::BIGINT AS pre, label, text FROM fx_items", "fx_items")
 def tree5_identity(spark, d):
-    """TREE5: the reconcile seam changes nothing."""
-    return fx(spark, d, "fx_items").groupBy("edition").agg(F.count(F.lit(1)).alias("n"))
+    """TREE5: the reconcile seam changes no row."""
+    return longs(tr.reconcile(fx(spark, d, "fx_items")).select("edition", "pre", "label", "text"), "pre")
 
 
 @query(
@@ -366,12 +364,12 @@ def txt8_tokens(spark, d):
     return table(spark, d, "documents").select("doc_id", F.size(tx.content_words(t)).cast("bigint").alias("words"), F.size(tx.numeric_tokens(t)).cast("bigint").alias("numeric_tokens"))
 
 
-@query("SELECT edition, k::BIGINT AS k, 'Scope .... ' || (ord + k) AS line FROM (SELECT edition, ord, unnest([0, 1]) AS k FROM fx_rows WHERE ord = 1)", "fx_rows")
+@query("SELECT edition, ord::BIGINT AS ord, k::BIGINT AS k, 'Scope .... ' || (ord + k) AS line FROM (SELECT edition, ord, unnest([0, 1]) AS k FROM fx_rows)", "fx_rows")
 def txt10_pseudo_lines(spark, d):
     """TXT10: merged entries split where a page number ends one."""
     text = F.concat(F.lit("Scope .... "), F.col("ord"), F.lit(" Scope .... "), F.col("ord") + 1)
-    rows = fx(spark, d, "fx_rows").filter("ord = 1").select("edition", F.posexplode(tx.pseudo_lines(text)).alias("k", "line"))
-    return longs(rows, "k")
+    rows = fx(spark, d, "fx_rows").select("edition", "ord", F.posexplode(tx.pseudo_lines(text)).alias("k", "line"))
+    return longs(rows, "ord", "k")
 
 
 @query(
@@ -399,18 +397,18 @@ def txt12_roles(spark, d):
     return n.groupBy("lang", "role", "normative").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query("SELECT lang, CASE WHEN lang = 'es' AND k = 2 THEN NULL ELSE lang END AS guess, k::BIGINT AS k, count(*) AS n FROM documents, (SELECT unnest([0, 1, 2]) AS k) WHERE lang IN ('en', 'de', 'fr', 'es') GROUP BY ALL")
 def txt13_language(spark, d):
-    """TXT13: language by frequent short words, against the labelled one."""
-    stop = {"en": "the of and to in that is", "fr": "de la le les et des un", "de": "der die und den das mit zu", "es": "de la el que en los y"}
-    words = F.split(F.lower("text"), r"[^\p{L}]+")
-
-    def score(code: str):
-        return F.struct(F.size(F.filter(words, lambda w: w.isin(*stop[code].split()))).alias("n"), F.lit(code).alias("lang"))
-
-    best = F.array_max(F.array(*[score(k) for k in stop]))
-    guess = F.when((F.length("text") >= 12) & (best["n"] > 0), best["lang"])
-    return table(spark, d, "documents").groupBy("lang", guess.alias("guess")).agg(F.count(F.lit(1)).alias("n"))
+    """TXT13: language by frequent short words; too short or too like another is none."""
+    said = {
+        "en": ("the test of the unit shall be made", "this is not the limit", "and that is for the unit"),
+        "de": ("die Prüfung ist mit dem Gerät", "das ist nicht der Wert", "ein Gerät und eine Leitung"),
+        "fr": ("le champ doit être dans les limites", "la tension est une limite", "les essais et des mesures"),
+        "es": ("el campo se mide en los puntos", "los valores y las unidades del campo", "de la"),
+    }
+    texts = F.array(*[F.coalesce(*[F.when(F.col("lang") == g, t[k]) for g, t in said.items()]) for k in range(3)])
+    docs = table(spark, d, "documents").filter(F.col("lang").isin(*said)).select("lang", F.posexplode(texts).alias("k", "said"))
+    return longs(docs.groupBy("lang", ln.detect(F.col("said")).alias("guess"), "k").agg(F.count(F.lit(1)).alias("n")), "k")
 
 
 _CELL = """, c AS (SELECT p.*, CASE WHEN text LIKE '%dB' THEN 'dB' WHEN head LIKE 'Limit%' THEN 'V/m' WHEN head LIKE 'Max%' THEN 'dB' END AS unit, replace(replace(text, ' dB', ''), ' ', '') AS value FROM p)
@@ -424,16 +422,14 @@ def txt14_quantities(spark, d):
     return longs(c.groupBy("col", F.col("q.unit").alias("unit")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("q.value").alias("vals")), "col")
 
 
-_PARAMETERS = """, v AS (SELECT *, CASE WHEN text LIKE '%at least %' THEN 'gte' WHEN text LIKE '%at most %' THEN 'lte' END AS comparator, regexp_extract(text, '([0-9]+) (V/m|kHz)$', 1) AS value, regexp_extract(text, '([0-9]+) (V/m|kHz)$', 2) AS unit FROM fx_nodes WHERE pre % 3 = 2)
+_PARAMETERS = """, v AS (SELECT *, CASE WHEN text LIKE '%at least %' THEN 'gte' WHEN text LIKE '%at most %' THEN 'lte' END AS comparator, regexp_extract(text, '([0-9]+) (V/m|kHz)$', 1) AS value, regexp_extract(text, '([0-9]+) (V/m|kHz)$', 2) AS unit FROM fx_nodes)
 """
 
 
 @query(_PARAMETERS + "SELECT lang, unit, comparator, count(*) AS n, sum(value::BIGINT)::BIGINT AS total FROM v WHERE comparator IS NOT NULL GROUP BY ALL", "fx_nodes")
 def txt15_parameters(spark, d):
     """TXT15, TXT18: limit values stated in prose."""
-    fx(spark, d, "fx_nodes").filter("pre % 3 = 2").createOrReplaceTempView("prose__")
-    spark.udtf.register("prose_parameters", vl.prose_parameters)
-    p = spark.sql("SELECT n.lang, p.unit, p.comparator, p.value FROM prose__ n, LATERAL prose_parameters(n.text, n.lang) p")
+    p = ps.prose_parameters(fx(spark, d, "fx_nodes").withColumn("tongue", F.col("lang")), lang="tongue", keep=("lang",))
     return p.groupBy("lang", "unit", "comparator").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("bigint").alias("total"))
 
 
@@ -444,12 +440,13 @@ def txt16_cell_parameters(spark, d):
     return c.groupBy("p.unit", "p.comparator").agg(F.count(F.lit(1)).alias("n"), F.sum("p.value").cast("bigint").alias("total"))
 
 
-@query("SELECT price % 7 AS k, sum(price::BIGINT)::BIGINT AS total, sum(price::BIGINT)::BIGINT AS local FROM fx_rows WHERE price >= 1000 GROUP BY 1", "fx_rows")
+@query("SELECT price % 7 AS k, sum(price::BIGINT)::BIGINT AS total, sum(price::BIGINT)::BIGINT AS local FROM fx_rows GROUP BY 1", "fx_rows")
 def txt17_decimals(spark, d):
     """TXT17: thousands in English and decimal commas in German."""
-    en = F.concat((F.floor(F.col("price") / 1000)).cast("string"), F.lit(","), F.lpad((F.col("price") % 1000).cast("string"), 3, "0"))
+    price = F.col("price")
+    en = F.when(price < 1000, price.cast("string")).otherwise(F.concat((F.floor(price / 1000)).cast("string"), F.lit(","), F.lpad((price % 1000).cast("string"), 3, "0")))
     de = F.concat(F.translate(en, ",", "."), F.lit(",0"))
-    rows = fx(spark, d, "fx_rows").filter("price >= 1000").select((F.col("price") % 7).alias("k"), vl.decimal(en, F.lit("en")).alias("a"), vl.decimal(de, F.lit("de-DE")).alias("b"))
+    rows = fx(spark, d, "fx_rows").select((price % 7).alias("k"), vl.decimal(en, F.lit("en")).alias("a"), vl.decimal(de, F.lit("de-DE")).alias("b"))
     return rows.groupBy("k").agg(F.sum("a").cast("bigint").alias("total"), F.sum("b").cast("bigint").alias("local"))
 
 
@@ -568,10 +565,10 @@ def flt3_run_integrity(spark, d):
     return gt.run_integrity(n).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(_PARAMETERS + "SELECT CASE WHEN comparator IS NULL AND unit = 'kHz' THEN 'missing unit; missing comparator' WHEN unit = 'kHz' THEN 'missing unit' ELSE 'missing comparator' END AS reason, count(*) AS n FROM v WHERE unit = 'kHz' OR comparator IS NULL GROUP BY 1", "fx_nodes")
+@query(_PARAMETERS + "SELECT CASE WHEN comparator IS NULL AND unit = 'kHz' THEN 'missing unit; missing comparator' WHEN unit = 'kHz' THEN 'missing unit' ELSE 'missing comparator' END AS reason, count(*) AS n FROM v WHERE unit = 'kHz' OR unit = 'V/m' AND comparator IS NULL GROUP BY 1", "fx_nodes")
 def flt4_units(spark, d):
     """FLT4: gate 7, limit values without unit or comparator."""
-    n = fx(spark, d, "fx_nodes").filter("pre % 3 = 2")
+    n = fx(spark, d, "fx_nodes").filter(F.col("text").rlike("[0-9] (V/m|kHz)$"))
     comparator = F.when(F.contains("text", F.lit("at least ")), "gte").when(F.contains("text", F.lit("at most ")), "lte")
     p = n.select("edition", "pre", F.when(F.contains("text", F.lit("V/m")), "V/m").alias("unit"), F.lit("V/m").alias("raw_unit"), comparator.alias("comparator"), F.lit(None).cast("string").alias("tol_type"))
     return gt.units(p, n.select("edition", "pre", F.col("text").alias("runs"))).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
@@ -667,16 +664,22 @@ def jn9_gold(spark, d):
 
 
 @query(
-    """, e AS (SELECT edition, 'N' || 'd' AS surface FROM fx_nodes GROUP BY 1), t AS (SELECT edition, string_agg(CASE WHEN qty % 9 = 0 THEN 'the N_d value' ELSE 'none' END, ' ') AS text FROM fx_rows GROUP BY 1)
-       SELECT text LIKE '%N_d%' AS computes_limit, count(*) AS n FROM e JOIN t USING (edition) GROUP BY 1""",
-    "fx_nodes", "fx_rows",
+    """, t AS (SELECT edition, pre, (pre + 1) // 2 AS parent, pre % 2 = 0 AS eq, CASE WHEN length(text) % 3 = 0 THEN 'the N_d value' WHEN length(text) % 3 = 1 THEN 'the N d value' ELSE 'an N_dx or RNd' END AS text, type = 'paragraph' AS normative FROM fx_nodes),
+       b AS (SELECT edition, parent, bool_or(normative AND NOT eq AND text LIKE 'the N%') AS hit FROM t GROUP BY ALL)
+       SELECT hit AS computes_limit, count(*) AS n FROM t JOIN b USING (edition, parent) WHERE eq GROUP BY 1""",
+    "fx_nodes",
 )
 def jn4_computes_limit(spark, d):
     """JN4: equations whose symbol occurs in normative text beside them."""
-    rows = fx(spark, d, "fx_rows").groupBy("edition").agg(F.concat_ws(" ", F.collect_list(F.when(F.col("qty") % 9 == 0, "the N_d value").otherwise("none"))).alias("text"))
-    symbol = eq.surface(F.lit("N_{\\text{d}}"))
-    pattern = F.concat(F.lit("(?<![A-Za-z])"), F.array_join(F.filter(F.split(symbol, ""), lambda c: c != ""), "[\\s_]?"), F.lit("(?![A-Za-z])"))
-    return rows.groupBy(F.regexp_like("text", pattern).alias("computes_limit")).agg(F.count(F.lit(1)).alias("n"))
+    n = F.length("text") % 3
+    said = F.when(n == 0, "the N_d value").when(n == 1, "the N d value").otherwise("an N_dx or RNd")
+    even = F.col("pre") % 2 == 0
+    nodes = fx(spark, d, "fx_nodes").select(
+        "edition", "pre", F.floor((F.col("pre") + 1) / 2).alias("parent"), (F.col("type") == "paragraph").alias("normative"),
+        F.when(even, "equation").otherwise("paragraph").alias("type"), said.alias("text"), F.when(even, "N_{\\text{d}}").alias("defines"),
+    )
+    got = eq.computes_limit(nodes).filter("type = 'equation'")
+    return got.groupBy("computes_limit").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- aggregates and votes -------------------------------------------------------------------------
@@ -738,10 +741,10 @@ def agg7_grid_votes(spark, d):
     return cs.grid_votes(r).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT CASE WHEN count(*) >= 3 AND count(DISTINCT disc % 2) = 1 THEN 'unanimous' ELSE 'quarantined' END AS state, edition FROM fx_rows WHERE ord <= 3 GROUP BY edition", "fx_rows")
+@query("SELECT CASE WHEN count(*) >= 3 AND count(DISTINCT disc % 2) = 1 THEN 'unanimous' ELSE 'quarantined' END AS state, edition FROM fx_rows GROUP BY edition", "fx_rows")
 def agg8_strict_votes(spark, d):
-    """AGG8: grids that all three parsers must agree on."""
-    g = fx(spark, d, "fx_rows").filter("ord <= 3").select("edition", F.concat(F.lit("p"), "ord").alias("parser"), (F.col("disc") % 2).alias("n_rows"), F.lit(1).alias("n_cols"), F.array(F.lit(1)).alias("spans"))
+    """AGG8: grids that all parsers, three at least, must agree on."""
+    g = fx(spark, d, "fx_rows").select("edition", F.concat(F.lit("p"), "ord").alias("parser"), (F.col("disc") % 2).alias("n_rows"), F.lit(1).alias("n_cols"), F.array(F.lit(1)).alias("spans"))
     return cs.strict_grid_votes(g, "edition").select("state", "edition")
 
 
@@ -938,12 +941,7 @@ def win13_reading_order(spark, d):
 @query("SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS rank FROM documents")
 def srt1_discrepancy(spark, d):
     """SRT1: changes by falling score, ties by id."""
-    docs = table(spark, d, "documents").select("doc_id", "n_chars")
-    ordered = docs.orderBy(F.desc("n_chars"), "doc_id")
-    longer = docs.groupBy("n_chars").agg(F.count(F.lit(1)).alias("n"))
-    above = longer.select("n_chars", F.coalesce(F.sum("n").over(Window.orderBy(F.desc("n_chars")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("above"))
-    inside = F.row_number().over(Window.partitionBy("n_chars").orderBy("doc_id"))
-    return ordered.join(above, "n_chars").select("doc_id", (F.col("above") + inside).alias("rank"))
+    return vw.by_discrepancy(table(spark, d, "documents").select("doc_id", "n_chars"), "n_chars", "doc_id").select("doc_id", "rank")
 
 
 _STATUS = _VOTES + """, q AS (SELECT edition, CASE WHEN against = 0 THEN 'unanimous' WHEN normative THEN 'quarantined' WHEN 2 * (voters - against) > voters THEN 'majority' ELSE 'quarantined' END AS state FROM z),
@@ -994,22 +992,31 @@ def ui3_edges(spark, d):
     return vw.edges(nodes, xrefs(spark, d), none, groups).groupBy("edge").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT count(DISTINCT sha256(text)) AS stored, 0::BIGINT AS second FROM documents")
+@query("SELECT count(DISTINCT coalesce(text, '')) AS stored, count(DISTINCT coalesce(text, '')) AS again, 2 * count(DISTINCT coalesce(text, '')) AS with_other_version FROM documents")
 def str1_idempotent(spark, d):
-    """STR1-STR3, SNK1: documents by content key; a second run finds nothing new."""
-    docs = table(spark, d, "documents").select("doc_id", st.key(F.col("text"), st.version()).alias("key"))
-    first = docs.dropDuplicates(["key"])
-    again = docs.join(first.select("key"), "key", "left_anti")
-    return first.agg(F.count(F.lit(1)).alias("stored")).crossJoin(again.agg(F.count(F.lit(1)).alias("second")))
+    """STR1-STR3, SNK1: the store takes a key once: a second run adds nothing, another version everything."""
+    docs = table(spark, d, "documents").select(F.coalesce("text", F.lit("")).alias("text"))
+    store, sizes = st.Store(spark, st.scratch(spark, "store")), []
+    for version in (st.version(), st.version(), st.version("fast")):
+        store.put(docs.select(st.key(F.col("text"), version).alias("key"), F.lit(version).alias("version")))
+        sizes.append(store.read().count())
+    return spark.createDataFrame([tuple(sizes)], "stored bigint, again bigint, with_other_version bigint")
 
 
 @query(
-    "SELECT greatest(tax % 3, 1)::BIGINT AS span, count(*) AS cells FROM fx_rows GROUP BY 1", "fx_rows"
+    """, i AS (SELECT greatest(tax % 3, 1)::BIGINT AS rowspan, greatest(disc % 4 - 1, 1)::BIGINT AS colspan, coalesce(CASE WHEN ord = 1 THEN TRUE WHEN ord = 2 THEN FALSE END, FALSE) AS header FROM fx_rows)
+       SELECT rowspan, colspan, header, count(*) AS cells FROM i GROUP BY ALL""",
+    "fx_rows",
 )
 def tree3_cells(spark, d):
-    """TREE3: a cell spans at least one column."""
-    cells = fx(spark, d, "fx_rows").select("disc", (F.col("disc") + F.col("tax") % 3).alias("end"))
-    return cells.groupBy(F.greatest(F.col("end") - F.col("disc"), F.lit(1)).cast("bigint").alias("span")).agg(F.count(F.lit(1)).alias("cells"))
+    """TREE3: cells of table items; a span is at least one, a missing header flag is none."""
+    i = F.col("ord")
+    items = fx(spark, d, "fx_rows").select(
+        "edition", i.alias("start_row"), (i + F.col("tax") % 3).alias("end_row"), F.col("disc").alias("start_col"),
+        (F.col("disc") + F.col("disc") % 4 - 1).alias("end_col"), F.when(i == 1, True).when(i == 2, False).alias("header"),
+    )
+    got = tb.cells(items).groupBy("rowspan", "colspan", "header").agg(F.count(F.lit(1)).alias("cells"))
+    return longs(got, "rowspan", "colspan")
 
 
 @query(
@@ -1038,3 +1045,22 @@ def assemble_editions(spark, d):
         bundle.nodes.join(found, ["edition", "pre"], "left").groupBy("type", "cdm_type")
         .agg(F.count(F.lit(1)).alias("nodes"), F.count("parent").alias("placed"), F.coalesce(F.sum("outcomes"), F.lit(0)).alias("outcomes"))
     )
+
+
+@query("SELECT page_class, round(avg(q) * 100)::BIGINT AS layout, count(*) FILTER (WHERE q IS NULL)::BIGINT AS unknown FROM (SELECT CASE WHEN qty % 2 = 0 THEN 'even' ELSE 'odd' END AS page_class, CASE WHEN disc = 3 THEN NULL ELSE round(price / 7.0, 4) END AS q FROM fx_rows) GROUP BY 1", "fx_rows")
+def src8_confidence(spark, d):
+    """SRC8: page confidences to four places, NaN as null."""
+    score = F.when(F.col("disc") == 3, F.lit(float("nan"))).otherwise(F.col("price") / 7.0)
+    pages = fx(spark, d, "fx_rows").select("edition", F.col("ord").alias("page"), "qty", *[score.alias(c) for c in ("layout", "parse", "table", "ocr")])
+    got = mt.page_confidence(pages).join(pages.select("edition", "page", "qty"), ["edition", "page"])
+    kind = F.when(F.col("qty") % 2 == 0, "even").otherwise("odd").alias("page_class")
+    return got.groupBy(kind).agg(F.round(F.avg("layout") * 100).cast("bigint").alias("layout"), F.count_if(F.col("layout").isNull()).alias("unknown"))
+
+
+@query("""SELECT edition, page, string_agg(text, ' ' ORDER BY ord) AS text, min(x0) AS x0, max(y1) AS y1, max(size)::BIGINT AS size, min_by(size % 2 = 0, ord) AS horizontal
+    FROM fx_words GROUP BY edition, page""", "fx_words")
+def src12_lines(spark, d):
+    """SRC10, SRC12: lines from spans, with box, type size and direction."""
+    flat = F.col("size") % 2 == 0
+    spans = fx(spark, d, "fx_words").withColumns({"line": F.lit(1), "dx": F.when(flat, 1.0).otherwise(0.0), "dy": F.when(flat, 0.0).otherwise(-1.0)})
+    return longs(mt.source_lines(spans).select("edition", "page", "text", "x0", "y1", "size", "horizontal"), "size")

@@ -28,6 +28,7 @@ def text_lines(documents: DataFrame, per_page: int = 5) -> DataFrame:
 
 ITEMS = "edition bigint, pre int, label string, level int, text string"
 _LABELS = {"p": "paragraph", "li": "list_item", "blockquote": "paragraph", "td": "paragraph", "figcaption": "caption", "caption": "caption"}
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _FURNITURE = {"nav", "header", "footer", "aside", "form", "script", "style", "head", "title"}
 
 
@@ -39,7 +40,7 @@ def html_items(pages: DataFrame) -> DataFrame:
     class Reader(HTMLParser):
         def __init__(self):
             super().__init__(convert_charrefs=True)
-            self.items, self.text, self.kind, self.furniture = [], [], None, 0
+            self.items, self.text, self.kind, self.furniture = [], [], None, []
 
         def end(self) -> None:
             text = " ".join("".join(self.text).split())
@@ -50,25 +51,27 @@ def html_items(pages: DataFrame) -> DataFrame:
 
         def handle_starttag(self, tag, attrs):
             names = dict(attrs).get("class") or ""
-            if tag in _FURNITURE or tag == "div" and "ad" in names.split():
-                self.end()
-                self.furniture += 1
-            elif tag[0] == "h" and tag[1:].isdigit():
+            outermost = tag in _FURNITURE or tag == "div" and "ad" in names.split()
+            heading = tag[0] == "h" and tag[1:].isdigit()
+            if outermost or heading or tag in _LABELS:
                 self.end()
+            if (self.furniture or outermost) and tag not in _VOID:
+                self.furniture.append(tag)
+            if heading:
                 self.kind = ("section_header", int(tag[1:]))
             elif tag in _LABELS:
-                self.end()
                 self.kind = (_LABELS[tag], None)
             elif tag == "br":
                 self.text.append(" ")
 
         def handle_endtag(self, tag):
-            if tag in _FURNITURE or tag == "div" and self.furniture:
-                self.end()
-                self.furniture = max(0, self.furniture - 1)
-            elif tag in _LABELS or tag[0] == "h" and tag[1:].isdigit():
+            if tag in _LABELS or tag in _FURNITURE or tag[0] == "h" and tag[1:].isdigit() or self.furniture[:1] == [tag]:
                 self.end()
                 self.kind = None
+            if tag in self.furniture:
+                # What is still open inside an element ends with it.
+                while self.furniture.pop() != tag:
+                    pass
 
         def handle_data(self, data):
             self.text.append(data)

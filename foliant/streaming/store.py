@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,16 @@ def admission(text: Column) -> Column:
     )
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A fresh folder that driver and executors share (``spark.checkpoint.dir``); a local session may leave that unset."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        where = "file://" + tempfile.gettempdir()
+    return f"{where.rstrip('/')}/foliant-{label}-{uuid.uuid4().hex}"
+
+
 class Store:
     """Editions as Parquet, by pipeline version; a key that exists is never written again."""
 
