@@ -99,7 +99,11 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def find_spans(text: Column, pattern: str, *, group: int | None = None) -> Column:
+#: Matches of a text are gathered in parts of so many.
+PART = 256
+
+
+def find_spans(text: Column, pattern: str, *, group: int | None = None, hint: str | None = None) -> Column:
     """Leftmost non-overlapping matches of a Java pattern as
     ``array<struct<start:bigint, end:bigint, hit:string, part:string, before:string, after:string>>``.
 
@@ -107,14 +111,17 @@ def find_spans(text: Column, pattern: str, *, group: int | None = None) -> Colum
     whole match if None); ``before``/``after`` are the texts up to the next match.  The
     texts between matches (``split``) and the matches (``regexp_extract_all``)
     alternate, so a running sum of their lengths gives the offsets.  The pattern must
-    not match the empty string.
+    not match the empty string.  Texts in which ``hint`` (the pattern itself if None) finds nothing are
+    not looked through.
     """
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     bundle = F.struct(
         F.split(text, pattern, -1).alias("gaps"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group or 0)).alias("parts"),
+        hits.alias("hits"),
+        *([F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("parts")] if group else []),
     )
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,hit:string,part:string,before:string,after:string>>")
+    empty_type = "array<struct<start:bigint,end:bigint,hit:string,part:string,before:string,after:string>>"
+    empty = F.array().cast(empty_type)
 
     def located(z: Column) -> Column:
         def step(acc: Column, i: Column) -> Column:
@@ -124,20 +131,28 @@ def find_spans(text: Column, pattern: str, *, group: int | None = None) -> Colum
                 start.cast("bigint").alias("start"),
                 end.cast("bigint").alias("end"),
                 F.get(z["hits"], i).alias("hit"),
-                F.get(z["parts"], i).alias("part"),
+                F.get(z["parts" if group else "hits"], i).alias("part"),
                 F.get(z["gaps"], i).alias("before"),
                 F.get(z["gaps"], i + 1).alias("after"),
             )
-            return F.struct(end.cast("bigint").alias("at"), F.concat(acc["out"], F.array(found)).alias("out"))
+            # Matches gather in parts of bounded size: one growing array would be copied at every match.
+            full = F.size(acc["out"]) >= PART
+            return F.struct(
+                end.cast("bigint").alias("at"),
+                F.when(full, F.array(found)).otherwise(F.concat(acc["out"], F.array(found))).alias("out"),
+                F.when(full, F.concat(acc["parts"], F.array(acc["out"]))).otherwise(acc["parts"]).alias("parts"),
+            )
 
+        places = F.when(F.size(z["hits"]) > 0, F.sequence(F.lit(0), F.size(z["hits"]) - 1))
+        none = F.array().cast(f"array<{empty_type}>")
         return F.aggregate(
-            F.sequence(F.lit(0), F.size(z["hits"]) - 1),
-            F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out")),
+            F.coalesce(places, F.array().cast("array<int>")),
+            F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out"), none.alias("parts")),
             step,
-            lambda acc: acc["out"],
+            lambda acc: F.when(F.size(acc["parts"]) > 0, F.flatten(F.concat(acc["parts"], F.array(acc["out"])))).otherwise(acc["out"]),
         )
 
-    return F.when(text.rlike(pattern), let(bundle, located)).otherwise(empty)
+    return F.when(text.rlike(hint or pattern), let(bundle, located)).otherwise(empty)
 
 
 def digest_spans(spans: Column) -> Column:

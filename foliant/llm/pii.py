@@ -9,8 +9,9 @@ instances they catch as personal data of kind ``context``, although no base rule
 matches them.
 
 Defined results for odd input: a null text counts as empty; a null id is kept; repeated
-rows each get their row back; an empty table gives an empty result; further columns
-are ignored (``redact`` keeps them).
+rows each get their row back; whole texts are searched, however long, and as context the ``BESIDE`` characters on
+either side of an instance; an empty table gives an empty result; further columns are ignored (``find`` keeps
+them but for one named ``spans``, ``redact`` all of them).
 """
 
 from __future__ import annotations
@@ -84,14 +85,12 @@ def base_spans(text: Column) -> Column:
     """Base matches ordered by kind, then start."""
 
     def of(rank: int, kind: str) -> Column:
-        spans = F.transform(
-            F.filter(find_spans(text, PATTERNS[kind]), lambda s: _holds(kind, s["hit"])),
+        return F.transform(
+            F.filter(find_spans(text, PATTERNS[kind], hint=HINTS[kind]), lambda s: _holds(kind, s["hit"])),
             lambda s: F.struct(
                 F.lit(rank).alias("rank"), s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end")
             ),
         )
-        return F.when(text.rlike(HINTS[kind]), spans).otherwise(F.array().cast(f"array<{SPAN}>"))
-
     return F.concat(*[of(rank, kind) for rank, kind in enumerate(PATTERNS)])
 
 

@@ -32,5 +32,21 @@ def queries():
     }
 
 
+#: Exact search as SQL: every pair is scored.
+TOP_K_SQL = """
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+), p AS (
+    SELECT q.vec_id AS query_id, q.r, x.vec_id, CAST(list_sum(list_transform(list_zip(q.e, x.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM v q JOIN v x ON q.r <> x.r
+    WHERE q.vec_id % 20 = 0
+), s AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id, r ORDER BY score DESC, vec_id NULLS LAST) AS INT) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM s WHERE rank <= 20
+"""
+
+
 def oracle_sql():
-    return {}
+    """The others need iteration, tokenizers, offsets of matches or digests of what the method finds."""
+    return {"op9_dual_tree": TOP_K_SQL}

@@ -4,16 +4,18 @@ Hosts are nodes, links between pages of different hosts are edges.  Trust starts
 hosts with pages that a rule allows and follows links forward; distrust starts at hosts
 with blocked pages and follows links backward (whoever links to a blocked host).  Both
 are personalised PageRank vectors, computed in rounds as one join and one aggregation
-over (direction, host) edges.  A host whose share of distrust in the sum of both exceeds
+over (direction, host) edges until they no longer move.  A host whose share of distrust in the sum of both exceeds
 ``threshold`` is blocked, every other host is allowed.
 
 Defined results for odd input: a null URL or one without ``://`` has an empty host and
 path, fits no rule and is allowed; a null html has no links; repeated rows each get
-their row back; an empty table gives an empty result; further columns are ignored.
+their row back; a very long URL or page is read as a whole; a host with equal shares is allowed; an empty table
+gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import string
 from dataclasses import dataclass
 
@@ -42,7 +44,9 @@ RULES = (
     UrlRule("block", "com", "/de/"),
 )
 LINK = "(?i)\\bhref\\s*=\\s*[\"']?\\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\\s<>]+)"
-DAMPING, ROUNDS, THRESHOLD = 0.85, 8, 0.5
+DAMPING, THRESHOLD = 0.85, 0.5
+#: Rounds end when the scores of a kind move by no more than this in all.
+TOLERANCE = 1e-4
 
 
 def ascii_lower(c: Column) -> Column:
@@ -67,12 +71,12 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
-def host_scores(
-    pages: DataFrame, links: DataFrame, *, damping: float = DAMPING, rounds: int = ROUNDS
-) -> DataFrame:
-    """``host, trust, distrust`` for each host that either reaches.
+def host_scores(pages: DataFrame, links: DataFrame, *, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """``host, trust, distrust`` for each host that either reaches; each sums to one.
 
-    ``pages``: host, verdict (of its rule, may be null); ``links``: src, dst hosts.
+    ``pages``: host, verdict (of its rule, may be null); ``links``: src, dst hosts.  What hosts without links
+    would pass on returns to the seeds.  A round moves scores by at most ``damping`` times the last, so
+    the number of rounds follows from the tolerance.
     """
     seeds = (
         pages.filter(F.col("verdict").isNotNull() & (F.col("host") != ""))
@@ -89,19 +93,20 @@ def host_scores(
     degree = edges.groupBy("kind", "node").agg(F.count(F.lit(1)).alias("degree"))
     rank = seeds
     # Without edges the vectors are the seeds: no rounds are needed.
-    if not edges.isEmpty():
+    rounds = 0 if edges.isEmpty() else math.ceil(math.log(tolerance / 2) / math.log(damping))
+    if rounds:
         edges = cut(edges.join(degree, ["kind", "node"]), "url-weighted")
-        for k in range(rounds):
-            passed = edges.join(rank, ["kind", "node"]).select(
-                "kind", F.col("to").alias("node"), (damping * F.col("mass") / F.col("degree")).alias("mass")
-            )
-            rank = cut(
-                seeds.withColumn("mass", (1 - damping) * F.col("mass"))
-                .unionByName(passed)
-                .groupBy("kind", "node")
-                .agg(F.sum("mass").alias("mass")),
-                f"url-rank-{k}",
-            )
+    for k in range(rounds):
+        passed = edges.join(rank, ["kind", "node"]).groupBy("kind", F.col("to").alias("node"))
+        passed = cut(passed.agg((damping * F.sum(F.col("mass") / F.col("degree"))).alias("mass")), f"url-passed-{k}")
+        # Two rows: what is left over of each kind.
+        left = seeds.select("kind").distinct().join(passed.groupBy("kind").agg(F.sum("mass").alias("moved")), "kind", "left")
+        back = seeds.join(F.broadcast(left), "kind").select("kind", "node", (F.col("mass") * (1 - F.coalesce("moved", F.lit(0.0)))).alias("mass"))
+        fresh = cut(back.unionByName(passed).groupBy("kind", "node").agg(F.sum("mass").alias("mass")), f"url-rank-{k}")
+        moved = fresh.unionByName(rank.withColumn("mass", -F.col("mass"))).groupBy("kind", "node").agg(F.abs(F.sum("mass")).alias("d"))
+        rank = fresh
+        if (moved.groupBy("kind").agg(F.sum("d").alias("d")).agg(F.max("d")).first()[0] or 0.0) <= tolerance:
+            break
     share = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("mass")).otherwise(0.0)).alias(kind)
     return rank.groupBy(F.col("node").alias("host")).agg(share("trust"), share("distrust"))
 

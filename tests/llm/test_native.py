@@ -85,6 +85,16 @@ def test_secrets(spark):
     assert secrets.scan(df.limit(0), path_col="doc_id").count() == 0
 
 
+def test_long_runs_of_tokens_do_not_stop_a_scan(spark):
+    import time
+
+    texts = ["eyJ" * 10_000, "eyJabcdefghijk." * 6_000, "token:" * 6_000 + "abcdefg", "AKIA" * 10_000, "-----BEGIN " * 6_000, "x" + "eyJabcdefghijkl.eyJabcdefghijkl.abcdefghijkl"]
+    began = time.perf_counter()
+    got = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "path int, text string")).collect()
+    assert time.perf_counter() - began < 20
+    assert {r["path"]: len(r["spans"]) for r in got if r["path"] in (0, 5)} == {0: 0, 5: 0}
+
+
 def test_ledger_scans_only_what_is_new(spark):
     path = fresh_dir(spark, "test-ledger")
     one = spark.createDataFrame([("a", 'token = "abcdef123"'), ("b", "x")], "path string, text string")
@@ -313,18 +323,21 @@ def test_page_rank_equals_brute_force(spark):
         out = defaultdict(int)
         for a, _ in pairs:
             out[a] += 1
-        for _ in range(urls.ROUNDS):
-            new = {k: (1 - urls.DAMPING) * v for k, v in seeds.items()}
+        for _ in range(300):
+            new = defaultdict(float)
             for a, b in pairs:
                 if a in rank:
-                    new[b] = new.get(b, 0) + urls.DAMPING * rank[a] / out[a]
+                    new[b] += urls.DAMPING * rank[a] / out[a]
+            over = 1 - sum(new.values())
+            for k, v in seeds.items():
+                new[k] += over * v
             rank = new
         score[kind] = rank
     for i, r in enumerate(rows):
         h = r[1].split("/")[2]
         for kind in score:
-            assert got[i][kind] == pytest.approx(score[kind].get(h, 0.0)) or got[i][kind] is None and h not in score[kind]
-        if not got[i]["rule"]:
+            assert got[i][kind] == pytest.approx(score[kind].get(h, 0.0), abs=5e-4) or got[i][kind] is None and h not in score[kind]
+        if not got[i]["rule"] and abs(score["trust"].get(h, 0) - score["distrust"].get(h, 0)) > 1e-3:
             t, d = score["trust"].get(h, 0), score["distrust"].get(h, 0)
             assert got[i]["verdict"] == ("block" if d > 0.5 * (t + d) else "allow")
     assert urls.judge(df.limit(0)).count() == 0
