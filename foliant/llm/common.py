@@ -99,8 +99,37 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-#: Matches of a text are gathered in parts of so many.
-PART = 256
+#: ``running_sums`` adds up blocks of so many numbers.
+BLOCK = 128
+
+
+def running_sums(numbers: Column) -> Column:
+    """For each number of an array, its sum with all before it (``array<bigint>``).
+
+    ``aggregate`` copies its accumulator at every step, so a growing array costs the square of its
+    size.  Sums are therefore taken inside blocks, and over the sums of blocks.
+    """
+
+    def sums(v: Column) -> Column:
+        return F.aggregate(
+            v,
+            F.array().cast("array<bigint>"),
+            lambda acc, x: F.concat(acc, F.array(F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)) + x)),
+        )
+
+    def moved(z: Column) -> Column:
+        base = lambda j: F.coalesce(F.get(z["totals"], j - 1), F.lit(0))
+        return F.flatten(F.transform(z["blocks"], lambda b, j: F.transform(b, lambda x: x + base(j))))
+
+    def totalled(blocks: Column) -> Column:
+        totals = sums(F.transform(blocks, lambda b: F.get(b, F.size(b) - 1)))
+        return let(F.struct(blocks.alias("blocks"), totals.alias("totals")), moved)
+
+    def dealt(v: Column) -> Column:
+        at = F.sequence(F.lit(1), F.greatest(F.size(v), F.lit(1)), F.lit(BLOCK))
+        return let(F.transform(at, lambda i: sums(F.slice(v, i, BLOCK))), totalled)
+
+    return let(numbers, dealt)
 
 
 def find_spans(text: Column, pattern: str, *, group: int | None = None, hint: str | None = None) -> Column:
@@ -110,7 +139,7 @@ def find_spans(text: Column, pattern: str, *, group: int | None = None, hint: st
     Offsets are code points, ``end`` exclusive; ``part`` is the capture ``group`` (the
     whole match if None); ``before``/``after`` are the texts up to the next match.  The
     texts between matches (``split``) and the matches (``regexp_extract_all``)
-    alternate, so a running sum of their lengths gives the offsets.  The pattern must
+    alternate, so running sums of their lengths give the offsets.  The pattern must
     not match the empty string.  Texts in which ``hint`` (the pattern itself if None) finds nothing are
     not looked through.
     """
@@ -124,33 +153,22 @@ def find_spans(text: Column, pattern: str, *, group: int | None = None, hint: st
     empty = F.array().cast(empty_type)
 
     def located(z: Column) -> Column:
-        def step(acc: Column, i: Column) -> Column:
-            start = acc["at"] + F.length(F.get(z["gaps"], i))
-            end = start + F.length(F.get(z["hits"], i))
-            found = F.struct(
-                start.cast("bigint").alias("start"),
-                end.cast("bigint").alias("end"),
-                F.get(z["hits"], i).alias("hit"),
-                F.get(z["parts" if group else "hits"], i).alias("part"),
-                F.get(z["gaps"], i).alias("before"),
-                F.get(z["gaps"], i + 1).alias("after"),
-            )
-            # Matches gather in parts of bounded size: one growing array would be copied at every match.
-            full = F.size(acc["out"]) >= PART
-            return F.struct(
-                end.cast("bigint").alias("at"),
-                F.when(full, F.array(found)).otherwise(F.concat(acc["out"], F.array(found))).alias("out"),
-                F.when(full, F.concat(acc["parts"], F.array(acc["out"]))).otherwise(acc["parts"]).alias("parts"),
+        sizes = F.transform(z["hits"], lambda h, i: (F.length(F.get(z["gaps"], i)) + F.length(h)).cast("bigint"))
+
+        def spans(ends: Column) -> Column:
+            return F.transform(
+                z["hits"],
+                lambda h, i: F.struct(
+                    (F.get(ends, i) - F.length(h)).alias("start"),
+                    F.get(ends, i).alias("end"),
+                    h.alias("hit"),
+                    F.get(z["parts" if group else "hits"], i).alias("part"),
+                    F.get(z["gaps"], i).alias("before"),
+                    F.get(z["gaps"], i + 1).alias("after"),
+                ),
             )
 
-        places = F.when(F.size(z["hits"]) > 0, F.sequence(F.lit(0), F.size(z["hits"]) - 1))
-        none = F.array().cast(f"array<{empty_type}>")
-        return F.aggregate(
-            F.coalesce(places, F.array().cast("array<int>")),
-            F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out"), none.alias("parts")),
-            step,
-            lambda acc: F.when(F.size(acc["parts"]) > 0, F.flatten(F.concat(acc["parts"], F.array(acc["out"])))).otherwise(acc["out"]),
-        )
+        return let(running_sums(sizes), spans)
 
     return F.when(text.rlike(hint or pattern), let(bundle, located)).otherwise(empty)
 

@@ -95,6 +95,17 @@ def test_long_runs_of_tokens_do_not_stop_a_scan(spark):
     assert {r["path"]: len(r["spans"]) for r in got if r["path"] in (0, 5)} == {0: 0, 5: 0}
 
 
+def test_very_many_matches_cost_in_proportion(spark):
+    import time
+
+    texts = ["a1 b2 " * 50_000 + "0123456789abcdef" * 2, "password=abcdefgh " * 20_000]
+    began = time.perf_counter()
+    got = {r["path"]: r["spans"] for r in secrets.scan(spark.createDataFrame(list(enumerate(texts)), "path int, text string")).collect()}
+    assert time.perf_counter() - began < 40
+    assert [(s["start"], s["end"]) for s in got[0]] == [(300_000, 300_032)]
+    assert [(s["start"], s["end"]) for s in got[1]] == [(18 * i, 18 * i + 17) for i in range(20_000)]
+
+
 def test_ledger_scans_only_what_is_new(spark):
     path = fresh_dir(spark, "test-ledger")
     one = spark.createDataFrame([("a", 'token = "abcdef123"'), ("b", "x")], "path string, text string")
