@@ -99,39 +99,56 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-#: ``running_sums`` adds up blocks of so many numbers.
+#: ``running`` adds up blocks of so many numbers.
 BLOCK = 128
 
 
-def running_sums(numbers: Column) -> Column:
-    """For each number of an array, its sum with all before it (``array<bigint>``).
+def running(numbers: Column, join=lambda a, x: a + x) -> Column:
+    """For each number of an array, the sum of it and all before it (``array<bigint>``), or what else
+    ``join`` makes of two numbers; 0 must leave a number as it is.
 
     ``aggregate`` copies its accumulator at every step, so a growing array costs the square of its
-    size.  Sums are therefore taken inside blocks, and over the sums of blocks.
+    size.  Numbers are therefore joined inside blocks, and then the blocks.
     """
 
-    def sums(v: Column) -> Column:
+    def within(v: Column) -> Column:
         return F.aggregate(
             v,
             F.array().cast("array<bigint>"),
-            lambda acc, x: F.concat(acc, F.array(F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)) + x)),
+            lambda acc, x: F.concat(acc, F.array(join(F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0).cast("bigint")), x))),
         )
 
     def moved(z: Column) -> Column:
-        base = lambda j: F.coalesce(F.get(z["totals"], j - 1), F.lit(0))
-        return F.flatten(F.transform(z["blocks"], lambda b, j: F.transform(b, lambda x: x + base(j))))
+        base = lambda j: F.coalesce(F.get(z["totals"], j - 1), F.lit(0).cast("bigint"))
+        return F.flatten(F.transform(z["blocks"], lambda b, j: F.transform(b, lambda x: join(base(j), x))))
 
     def totalled(blocks: Column) -> Column:
-        totals = sums(F.transform(blocks, lambda b: F.get(b, F.size(b) - 1)))
+        totals = within(F.transform(blocks, lambda b: F.get(b, F.size(b) - 1)))
         return let(F.struct(blocks.alias("blocks"), totals.alias("totals")), moved)
 
     def dealt(v: Column) -> Column:
         at = F.sequence(F.lit(1), F.greatest(F.size(v), F.lit(1)), F.lit(BLOCK))
-        return let(F.transform(at, lambda i: sums(F.slice(v, i, BLOCK))), totalled)
+        return let(F.transform(at, lambda i: within(F.slice(v, i, BLOCK))), totalled)
 
     return let(numbers, dealt)
 
 
+#: ``pieces`` cuts texts into so many code points.
+PIECE = 1024
+
+
+def pieces(text: Column) -> Column:
+    """A text as pieces of ``PIECE`` code points, so that a place far inside is found at once."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def part(of: Column, at: Column, n: Column) -> Column:
+    """``n`` code points from ``at`` (from 0) of a text given by its ``pieces``."""
+    first, least = F.floor(at / PIECE).cast("int"), F.greatest(n, F.lit(0))
+    near = F.array_join(F.slice(of, first + 1, F.floor(least / PIECE).cast("int") + 2), "")
+    return F.substring(near, (at - first * PIECE + 1).cast("int"), least.cast("int"))
+
+
 def find_spans(text: Column, pattern: str, *, group: int | None = None, hint: str | None = None) -> Column:
     """Leftmost non-overlapping matches of a Java pattern as
     ``array<struct<start:bigint, end:bigint, hit:string, part:string, before:string, after:string>>``.
@@ -168,7 +185,7 @@ def find_spans(text: Column, pattern: str, *, group: int | None = None, hint: st
                 ),
             )
 
-        return let(running_sums(sizes), spans)
+        return let(running(sizes), spans)
 
     return F.when(text.rlike(hint or pattern), let(bundle, located)).otherwise(empty)
 

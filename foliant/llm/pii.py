@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import aliased, cut, digest_spans, find_spans, let, read_table
+from .common import aliased, cut, digest_spans, find_spans, let, part, pieces, read_table, running
 
 SPAN = "struct<rank:int,start:bigint,kind:string,end:bigint>"
 KINDS = ("email", "ip", "card", "phone", "context")
@@ -47,8 +47,8 @@ LEAD, TAIL = "^[A-Z]{1,4}\\x20", "\\x20[A-Z]{1,3}$"
 INSTANCE = (
     "(?<![^\\x20\\x09-\\x0D])(?=[^\\x20\\x09-\\x0D@]*+@|(?:[^\\x20\\x09-\\x0D0-9]*+[0-9]){6})[^\\x20\\x09-\\x0D]+"
 )
-#: Of the text beside an instance only so much is looked at; texts are held in blocks of BLOCK for that.
-BESIDE, BLOCK = 200, 1024
+#: Of the text beside an instance only so much is looked at.
+BESIDE = 200
 PLACE = "struct<start:bigint,end:bigint,instance:string,run:bigint,whole:boolean,seed:boolean>"
 #: Discovered spans up to this many (under 100 bytes each) are broadcast to their texts; more are joined by a shuffle.
 BROADCAST_SPANS = 200_000
@@ -94,32 +94,39 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of(rank, kind) for rank, kind in enumerate(PATTERNS)])
 
 
+def _reached(spans: Column) -> Column:
+    """For each of the spans, ordered by start, the furthest end up to and with it."""
+    return running(F.transform(spans, lambda s: s["end"]), F.greatest)
+
+
 def _seeds(text: Column, base: Column) -> Column:
     """``seeds``: base matches that do not overlap an earlier one; ``masked``: the text with all matches masked."""
-    part = lambda at, n: F.substring(text, (at + 1).cast("int"), n.cast("int"))
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), part(s["start"], s["end"] - s["start"]).alias("instance"),
-            s["start"].alias("run"), F.lit(True).alias("whole"), F.lit(True).alias("seed"),
-        )
-        start = F.greatest(s["start"], acc["at"])
-        hidden = F.repeat(F.lit(MASK), F.greatest(s["end"] - start, F.lit(0)).cast("int"))
+    def of(z: Column) -> Column:
+        text_part = lambda at, n: part(z["pieces"], at, n)
+        before = lambda i: F.coalesce(F.get(z["ends"], i - 1), F.lit(0).cast("bigint"))
+
+        def seed(s: Column) -> Column:
+            return F.struct(
+                s["start"].alias("start"), s["end"].alias("end"), text_part(s["start"], s["end"] - s["start"]).alias("instance"),
+                s["start"].alias("run"), F.lit(True).alias("whole"), F.lit(True).alias("seed"),
+            )
+
+        def masked(s: Column, i: Column) -> Column:
+            start = F.greatest(s["start"], before(i))
+            hidden = F.repeat(F.lit(MASK), F.greatest(s["end"] - start, F.lit(0)).cast("int"))
+            return F.concat(text_part(before(i), start - before(i)), hidden)
+
+        last = F.get(z["ends"], F.size(z["ends"]) - 1)
         return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.concat(acc["out"], F.array(part(acc["at"], start - acc["at"]), hidden)).alias("out"),
-            F.when(s["start"] >= acc["at"], F.concat(acc["seeds"], F.array(fresh))).otherwise(acc["seeds"]).alias("seeds"),
+            F.transform(F.filter(z["spans"], lambda s, i: s["start"] >= before(i)), seed).alias("seeds"),
+            F.concat(F.array_join(F.transform(z["spans"], masked), ""), text_part(last, F.length(text) - last)).alias("masked"),
         )
 
-    zero = F.struct(
-        F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"), F.array().cast(f"array<{PLACE}>").alias("seeds")
-    )
     by_start = F.array_sort(base, lambda x, y: F.when(x["start"] != y["start"], F.signum(x["start"] - y["start"])).otherwise(F.signum(y["end"] - x["end"])).cast("int"))
-    done = lambda acc: F.struct(
-        acc["seeds"].alias("seeds"), F.concat(F.array_join(acc["out"], ""), part(acc["at"], F.length(text))).alias("masked")
-    )
     none = F.struct(F.array().cast(f"array<{PLACE}>").alias("seeds"), text.alias("masked"))
-    return F.when(F.size(base) > 0, F.aggregate(by_start, zero, step, done)).otherwise(none)
+    bundle = lambda b: F.struct(b.alias("spans"), _reached(b).alias("ends"), pieces(text).alias("pieces"))
+    return F.when(F.size(base) > 0, let(by_start, lambda b: let(bundle(b), of))).otherwise(none)
 
 
 def _candidates(masked: Column) -> Column:
@@ -151,9 +158,7 @@ def _instances(text: Column, places: Column) -> Column:
 
     def of_blocks(blocks: Column) -> Column:
         def beside(at: Column) -> Column:
-            i = F.floor(at / BLOCK).cast("int")
-            two = F.concat(F.coalesce(F.get(blocks, i), F.lit("")), F.coalesce(F.get(blocks, i + 1), F.lit("")))
-            return F.substring(two, (at - i * BLOCK + 1).cast("int"), F.lit(BESIDE))
+            return part(blocks, at, F.lit(BESIDE))
 
         def one(s: Column) -> Column:
             from_ = F.greatest(s["start"] - BESIDE, F.lit(0).cast("bigint"))
@@ -170,9 +175,8 @@ def _instances(text: Column, places: Column) -> Column:
 
         return F.transform(places, one)
 
-    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
     empty = F.array().cast("array<struct<start:bigint,end:bigint,instance:string,run:bigint,whole:boolean,seed:boolean,l1:string,l2:string,r1:string>>")
-    return F.when(F.size(places) > 0, let(blocks, of_blocks)).otherwise(empty)
+    return F.when(F.size(places) > 0, let(pieces(text), of_blocks)).otherwise(empty)
 
 
 def _patterns(o: Column) -> Column:
@@ -262,19 +266,17 @@ def redact(docs: DataFrame, **options) -> DataFrame:
     text = F.col(at).cast("string")
 
     def replaced(spans: Column) -> Column:
-        def step(acc: Column, s: Column) -> Column:
-            gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-            fresh = F.concat(acc["out"], F.array(gap, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
-            return F.struct(
-                F.greatest(acc["at"], s["end"]).alias("at"),
-                F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"),
-            )
+        def of(z: Column) -> Column:
+            before = lambda i: F.coalesce(F.get(z["ends"], i - 1), F.lit(0).cast("bigint"))
 
-        start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-        tail = lambda acc: F.concat(
-            F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))
-        )
-        return F.aggregate(spans, start, step, tail)
+            def fresh(s: Column, i: Column) -> Column:
+                said = F.concat(part(z["pieces"], before(i), s["start"] - before(i)), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+                return F.when(s["start"] >= before(i), said).otherwise("")
+
+            last = F.get(z["ends"], F.size(z["ends"]) - 1)
+            return F.concat(F.array_join(F.transform(spans, fresh), ""), part(z["pieces"], last, F.length(text) - last))
+
+        return let(F.struct(_reached(spans).alias("ends"), pieces(text).alias("pieces")), of)
 
     by_start = F.sort_array(
         F.transform(F.col("spans"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
