@@ -352,3 +352,27 @@ def test_page_rank_equals_brute_force(spark):
             t, d = score["trust"].get(h, 0), score["distrust"].get(h, 0)
             assert got[i]["verdict"] == ("block" if d > 0.5 * (t + d) else "allow")
     assert urls.judge(df.limit(0)).count() == 0
+
+
+def test_masking_and_redaction_equal_plain_python(spark):
+    def plain(text, spans):
+        at, out = 0, []
+        for start, end, kind in spans:
+            if start >= at:
+                out += [text[at:start], f"[{kind.upper()}]"]
+            at = max(at, end)
+        return "".join(out) + text[at:]
+
+    texts = ["Write to a.b@x.org now 😀. " * 500, "x 10.1.2.3 +1 (017) 555-7713 y 4111 1111 1111 1111 é " * 50, "+4111111111111111 4111 1111 1111 1111@a.bc", "", None, "é" * 3000 + "a@b.cd"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    marked = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).select("doc_id", "t", pii.base_spans(F.col("t")).alias("b"))
+    for r in marked.select("t", "b", pii._seeds(F.col("t"), F.col("b")).alias("z")).collect():
+        want = list(r["t"])
+        for s in r["b"]:
+            want[s["start"] : s["end"]] = pii.MASK * (s["end"] - s["start"])
+        assert r["z"]["masked"] == "".join(want)
+        assert all(x["instance"] == r["t"][x["start"] : x["end"]] for x in r["z"]["seeds"])
+    spans = {r["doc_id"]: sorted((s["start"], s["end"], s["kind"]) for s in r["spans"]) for r in pii.find(docs).collect()}
+    for r in pii.redact(docs).collect():
+        text = texts[r["doc_id"]]
+        assert r["text"] == (plain(text, spans[r["doc_id"]]) if spans[r["doc_id"]] else text)
